@@ -12,7 +12,7 @@ def bucketed_rank(df: DataFrame, bucket: Column, order: list[Column], name: str)
 
     ``bucket`` must be a non-decreasing function of the order with a bounded number of values: rows are
     ranked inside their bucket, and the number of rows in the buckets before is added. Only the table of
-    bucket sizes is ever brought together.
+    bucket sizes is ever brought together. ``df`` is read twice and must give the same rows both times.
     """
     keyed = df.withColumn("_bucket", bucket)
     sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))

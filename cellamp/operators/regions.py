@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +52,9 @@ def average_error(field: str, config: RegionConfig) -> Column:
     return F.col(field).cast("double") / ERR_SCALE / length
 
 
-def looked_table(scored: DataFrame, config: RegionConfig, repeat_rv_wt: bool = False) -> DataFrame:
+def looked_table(
+    scored: DataFrame, config: RegionConfig, repeat_rv_wt: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """The fixed 12 (linear) or 20 (circular) columns of a `looked` table, after the read id.
 
     ``repeat_rv_wt`` puts the reverse wild-type average in the last circular column once more.
@@ -59,8 +63,9 @@ def looked_table(scored: DataFrame, config: RegionConfig, repeat_rv_wt: bool = F
     if repeat_rv_wt and config.mode == "circ":
         averages[-1] = average_error("err_rv_wt", config).alias("avg_err_rv_mut")
     return scored.select(
-        "read_id", "bc", packed_scores(F.col("bc_qual")).alias("bc_q"), "umi", *mismatch_fields(config), *averages
-    )
+        "read_id", "bc", packed_scores(F.col("bc_qual")).alias("bc_q"), "umi", *mismatch_fields(config), *averages,
+        *keep,
+    )
 
 
 def is_primed(config: RegionConfig, params: Params = Params()) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cellamp.config import Params
 from cellamp.functions.phred import score_at
 from cellamp.operators.skew import salted_lookup
-from cellamp.operators.whitelist import flag_whitelisted, hamming1_candidates, observed_barcodes
+from cellamp.operators.whitelist import flag_whitelisted, hamming1_candidates, listed_barcodes, observed_barcodes
 from cellamp.session import store
 
 RESCUED, NO_CANDIDATE, NOT_SIGNIFICANT, NO_PRIOR = "RESCUED", "No_Hamm_1", "Not_Sig", "NO_in_SAVED"
@@ -20,9 +20,9 @@ RESCUED, NO_CANDIDATE, NOT_SIGNIFICANT, NO_PRIOR = "RESCUED", "No_Hamm_1", "Not_
 SCORE_CAP = 33
 
 
-def prior_counts(observed: DataFrame, whitelist: DataFrame, params: Params = Params()) -> DataFrame:
-    """Primed reads per whitelisted barcode (per chunk when asked)."""
-    return observed.join(whitelist.select("bc"), "bc", "left_semi").select(*params.chunk_cols, "bc", "n_reads")
+def prior_counts(observed: DataFrame, params: Params = Params()) -> DataFrame:
+    """Primed reads per whitelisted barcode (per chunk when asked), from the flagged observed barcodes."""
+    return observed.filter("listed").select(*params.chunk_cols, "bc", "n_reads")
 
 
 def barcode_candidates(observed: DataFrame, whitelist: DataFrame, params: Params = Params()) -> DataFrame:
@@ -31,13 +31,12 @@ def barcode_candidates(observed: DataFrame, whitelist: DataFrame, params: Params
     A barcode has at most one candidate per place and letter, so the array is bounded by the barcode length.
     """
     keys = list(params.chunk_cols)
-    unlisted = observed.join(whitelist, "bc", "left_anti").select(*keys, F.col("bc").alias("obs"))
-    pairs = hamming1_candidates(
-        unlisted.select(F.col("obs").alias("bc")).distinct(), whitelist, length=params.bc_len
-    )
+    unlisted = observed.filter("NOT listed").select(*keys, "bc")
+    once = unlisted.select("bc").distinct() if keys else unlisted
+    pairs = hamming1_candidates(once, whitelist, length=params.bc_len)
     if keys:
-        pairs = pairs.join(unlisted, "obs")
-    priors = prior_counts(observed, whitelist, params)
+        pairs = pairs.join(unlisted.withColumnRenamed("bc", "obs"), "obs")
+    priors = prior_counts(observed, params)
     with_prior = pairs.join(priors, [*keys, "bc"], "left").withColumn("n_reads", F.coalesce("n_reads", F.lit(0)))
     candidate = F.struct("wl_idx", "bc", "pos", "n_reads")
     return (
@@ -123,7 +122,10 @@ def decide(unlisted: DataFrame, params: Params = Params()) -> DataFrame:
 def with_candidates(
     unlisted: DataFrame, observed: DataFrame, whitelist: DataFrame, params: Params = Params()
 ) -> DataFrame:
-    """Reads outside the whitelist with the candidates of their barcode, hot barcodes salted."""
+    """Reads outside the whitelist with the candidates of their barcode, hot barcodes salted.
+
+    ``observed`` is the stored table of flagged barcodes with their read counts.
+    """
     keys = [*params.chunk_cols, "bc"]
     candidates = barcode_candidates(observed, whitelist, params)
     return salted_lookup(unlisted, candidates, keys, observed, "n_reads", "read_id", "left")
@@ -131,7 +133,7 @@ def with_candidates(
 
 def changed_reads(primed: DataFrame, whitelist: DataFrame, params: Params = Params()) -> DataFrame:
     """The reads outside the whitelist, each with its rescue status and replacement. ``primed`` must be stored."""
-    observed = store(observed_barcodes(primed, params.chunk_cols))
+    observed = store(listed_barcodes(observed_barcodes(primed, params.chunk_cols), whitelist))
     unlisted = flag_whitelisted(primed, whitelist).filter("whitelist = 'N'")
     return decide(with_candidates(unlisted, observed, whitelist, params), params)
 

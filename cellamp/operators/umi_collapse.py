@@ -153,8 +153,8 @@ def _collapse_large(nodes: DataFrame, params: Params, max_component: int) -> Dat
         sizes = store(labelled.groupBy("bc", "comp").agg(F.count("*").alias("_edges")))
         huge = sizes.filter(F.col("_edges") > max_component).select("bc", "comp", F.lit(True).alias("_huge"))
         keys = ["bc", "comp"]
-        marked_edges = mark(labelled, huge, keys, sizes, "_edges", "src")
-        marked_nodes = mark(nodes.join(comps, ["bc", "umi"], "left"), huge, keys, sizes, "_edges", "umi")
+        marked_edges = store(mark(labelled, huge, keys, sizes, "_edges", "src"))
+        marked_nodes = store(mark(nodes.join(comps, ["bc", "umi"], "left"), huge, keys, sizes, "_edges", "umi"))
         free = marked_nodes.filter("comp IS NULL").select("bc", *FIELDS)
         small = (
             marked_nodes.filter("comp IS NOT NULL AND _huge IS NULL")

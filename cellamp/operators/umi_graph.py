@@ -12,7 +12,7 @@ from functools import reduce
 from itertools import combinations
 from math import comb
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellamp.config import Params
@@ -47,6 +47,12 @@ def _pieces(length: int, threshold: int) -> list[tuple[int, int]]:
     return [(a + 1, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
+def _grams(text: str, size: int) -> Column:
+    """All substrings of one size."""
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - size + 1))
+    return F.transform(starts, lambda start: F.substring(text, start, F.lit(size)))
+
+
 def _piece_join(nodes: DataFrame, length: int, threshold: int, other_lengths: list[int]) -> DataFrame:
     pieces = _pieces(length, threshold)
     patterns = nodes.filter(F.length("umi") == length).select(
@@ -55,18 +61,7 @@ def _piece_join(nodes: DataFrame, length: int, threshold: int, other_lengths: li
         F.explode(F.array_distinct(F.array(*[F.substring("umi", s, n) for s, n in pieces]))).alias("key"),
     )
     texts = nodes.filter(F.length("umi").isin(other_lengths)).select("bc", F.col("umi").alias("dst"))
-    sizes = sorted({n for _, n in pieces})
-    grams = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("dst") - n + 1)),
-                    lambda start, n=n: F.substring("dst", start, F.lit(n)),
-                )
-                for n in sizes
-            ]
-        )
-    )
+    grams = F.flatten(F.array(*[_grams("dst", n) for n in sorted({n for _, n in pieces})]))
     texts = texts.select("bc", "dst", F.explode(F.array_distinct(grams)).alias("key"))
     return patterns.join(texts.hint("merge"), ["bc", "key"]).filter("src <> dst").select("bc", "src", "dst")
 

@@ -32,6 +32,12 @@ def observed_barcodes(reads: DataFrame, extra_keys: tuple[str, ...] = ()) -> Dat
     return reads.groupBy(*extra_keys, "bc").agg(F.count("*").alias("n_reads"))
 
 
+def listed_barcodes(observed: DataFrame, whitelist: DataFrame) -> DataFrame:
+    """Distinct barcodes with ``listed``; both sides are unique per barcode, so no key is hot."""
+    flag = whitelist.select("bc", F.lit(True).alias("listed"))
+    return observed.join(flag, "bc", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+
+
 def flag_whitelisted(
     reads: DataFrame, whitelist: DataFrame, spread_by: str = "read_id", broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:

@@ -45,11 +45,11 @@ class GenotypeRun:
 
     @cached_property
     def changed(self) -> DataFrame:
-        return rescue.changed_reads(self.primed, self._stored_whitelist, self.params)
+        return rescue.changed_reads(self.primed, self.stored_whitelist, self.params)
 
     @cached_property
     def corrected(self) -> DataFrame:
-        return rescue.corrected_reads(self.primed, self._stored_whitelist, self.params)
+        return rescue.corrected_reads(self.primed, self.stored_whitelist, self.params)
 
     @cached_property
     def representatives(self) -> DataFrame:
@@ -91,5 +91,5 @@ class GenotypeRun:
         return umi_collapse.cell_genotypes(self.collapsed)
 
     @cached_property
-    def _stored_whitelist(self) -> DataFrame:
+    def stored_whitelist(self) -> DataFrame:
         return store(self.whitelist)

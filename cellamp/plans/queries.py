@@ -101,39 +101,38 @@ def whitelist_order(spark, sf_dir):
 
 def whitelist_semi(spark, sf_dir):
     run = _run(spark, sf_dir)
-    return whitelist.in_whitelist(run.primed.select("read_id", "bc"), run.whitelist)
+    return whitelist.in_whitelist(run.primed.select("read_id", "bc"), run.stored_whitelist)
 
 
 def whitelist_anti(spark, sf_dir):
     run = _run(spark, sf_dir)
-    return whitelist.not_in_whitelist(run.primed.select("read_id", "bc"), run.whitelist)
+    return whitelist.not_in_whitelist(run.primed.select("read_id", "bc"), run.stored_whitelist)
 
 
 def _observed(run: GenotypeRun) -> DataFrame:
-    return store(whitelist.observed_barcodes(run.primed))
+    return store(whitelist.listed_barcodes(whitelist.observed_barcodes(run.primed), run.stored_whitelist))
 
 
 def hamming1_candidates(spark, sf_dir):
     run = _run(spark, sf_dir)
-    unlisted = _observed(run).join(run.whitelist, "bc", "left_anti")
-    return _plain(whitelist.hamming1_candidates(unlisted, run.whitelist, PARAMS.bc_len))
+    unlisted = _observed(run).filter("NOT listed")
+    return _plain(whitelist.hamming1_candidates(unlisted, run.stored_whitelist, PARAMS.bc_len))
 
 
 def hamming_k_join(spark, sf_dir):
     run = _run(spark, sf_dir)
-    return _plain(whitelist.hamming_join(_observed(run), store(run.whitelist), 2, PARAMS.bc_len).drop("wl_idx"))
+    return _plain(whitelist.hamming_join(_observed(run), run.stored_whitelist, 2, PARAMS.bc_len).drop("wl_idx"))
 
 
 def prior_counts(spark, sf_dir):
     run = _run(spark, sf_dir)
-    return rescue.prior_counts(whitelist.observed_barcodes(run.primed), run.whitelist)
+    return rescue.prior_counts(_observed(run))
 
 
 def rescue_posterior(spark, sf_dir):
     run = _run(spark, sf_dir)
-    listed = store(run.whitelist)
-    unlisted = whitelist.not_in_whitelist(run.primed, listed)
-    return _plain(rescue.posteriors(rescue.with_candidates(unlisted, _observed(run), listed)))
+    unlisted = whitelist.not_in_whitelist(run.primed, run.stored_whitelist)
+    return _plain(rescue.posteriors(rescue.with_candidates(unlisted, _observed(run), run.stored_whitelist)))
 
 
 def rescue_status(spark, sf_dir):

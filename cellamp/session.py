@@ -30,24 +30,26 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may fall back to a folder of this machine.
     """
-    root = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get(_CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="cellamp-")
-    spark.conf.set(_CHECKPOINT_KEY, root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="cellamp-"))
+    return context.getCheckpointDir()
 
 
 def store(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a scan of it.
 
     Used where a result is read more than once: the work is done once, its columns can be pruned by each
-    reader, and a lost executor costs a re-read and not a recomputation.
+    reader, and a lost executor costs a re-read and not a recomputation. All tables of an application lie in
+    one folder and can be removed when it has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/cellamp-{uuid.uuid4().hex}"
+    job = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark).rstrip('/')}/cellamp/{job}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
