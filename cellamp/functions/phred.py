@@ -30,7 +30,7 @@ def scores(quality: Column) -> Column:
 
 def error_units(quality: Column) -> Column:
     """Quality string to error probabilities per base, as integers of 1e-5; unknown symbols stay null."""
-    table = F.array(*[F.lit(p) for p in P_ERR_1E5])
+    table = F.expr(f"array({', '.join(map(str, P_ERR_1E5))})")
     return F.transform(F.split(quality, ""), lambda s: F.get(table, F.ascii(s) - OFFSET))
 
 

@@ -17,21 +17,25 @@ def pack_cells(
     order: list[str],
     fields: list[str],
     totals: list[Column],
-    max_packed: int = MAX_PACKED,
+    max_packed: int | None = MAX_PACKED,
 ) -> DataFrame:
     """``items``: array of ``fields`` per cell, sorted by ``order`` (unique in a cell), next to cell totals.
 
     A cell of more than ``max_packed`` rows is cut, in ``order``, at the bounds of a range partitioning, and
     each piece becomes one row; ``part`` rises with the order and is 0 for all other cells. The totals of
-    such a cell stand on each of its rows. ``rows`` must be stored, it is read for the sizes first.
+    such a cell stand on each of its rows. ``rows`` must be stored, it is read for the sizes first; None
+    leaves that out for cells already known to be small.
     """
     item = F.struct(*order, *[f for f in fields if f not in order])
     packed = F.array_sort(F.collect_list(item)).alias("items")
+    whole_cells = rows.groupBy(*keys).agg(packed, *totals).withColumn("part", F.lit(0))
+    if max_packed is None:
+        return whole_cells
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     large = sizes.filter(F.col("_n") > max_packed)
     large_rows = large.agg(F.sum("_n")).first()[0]
     if not large_rows:
-        return rows.groupBy(*keys).agg(packed, *totals).withColumn("part", F.lit(0))
+        return whole_cells
 
     marked = mark(rows, large, keys, sizes, "_n", order[-1])
     small = marked.filter("_n IS NULL").groupBy(*keys).agg(packed, *totals).withColumn("part", F.lit(0))

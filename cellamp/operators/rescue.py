@@ -32,18 +32,15 @@ def barcode_candidates(observed: DataFrame, whitelist: DataFrame, params: Params
     """
     keys = list(params.chunk_cols)
     unlisted = observed.filter("NOT listed").select(*keys, "bc")
-    once = unlisted.select("bc").distinct() if keys else unlisted
-    pairs = hamming1_candidates(once, whitelist, length=params.bc_len)
-    if keys:
-        pairs = pairs.join(unlisted.withColumnRenamed("bc", "obs"), "obs")
     priors = prior_counts(observed, params)
-    with_prior = pairs.join(priors, [*keys, "bc"], "left").withColumn("n_reads", F.coalesce("n_reads", F.lit(0)))
-    candidate = F.struct("wl_idx", "bc", "pos", "n_reads")
-    return (
-        with_prior.groupBy(*keys, F.col("obs").alias("bc_"))
-        .agg(F.array_sort(F.collect_list(candidate)).alias("candidates"))
-        .withColumnRenamed("bc_", "bc")
-    )
+    if keys:
+        pairs = hamming1_candidates(unlisted.select("bc").distinct(), whitelist, params.bc_len)
+        pairs = pairs.join(unlisted.withColumnRenamed("bc", "obs"), "obs").join(priors, [*keys, "bc"], "left")
+    else:
+        pairs = hamming1_candidates(unlisted, whitelist.join(priors, "bc", "left"), params.bc_len)
+    candidate = F.struct("wl_idx", "bc", "pos", F.coalesce("n_reads", F.lit(0)).alias("n_reads"))
+    grouped = pairs.groupBy(*keys, "obs").agg(F.array_sort(F.collect_list(candidate)).alias("candidates"))
+    return grouped.withColumnRenamed("obs", "bc")
 
 
 def _total(candidates: Column) -> Column:

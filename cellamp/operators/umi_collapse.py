@@ -18,12 +18,10 @@ from cellamp.functions.calls import collapsed_call
 from cellamp.functions.distance import neighbour_lists
 from cellamp.operators.packing import MAX_PACKED, pack_cells, packed_text
 from cellamp.operators.skew import mark
-from cellamp.operators.umi_graph import _threshold, umi_edges, weak_components
+from cellamp.operators.umi_graph import MAX_CELL, _threshold, split_cells, umi_edges, weak_components
 from cellamp.session import store
 
 FIELDS = ("umi", "n_wt", "n_mut", "n_amb", "call")
-# Cells up to this many UMIs are collapsed inside one task; larger ones go through joins.
-MAX_CELL = 2000
 # Components of large cells up to this many edges are collapsed inside one task.
 MAX_COMPONENT = 200_000
 _NODE = "umi string, n_wt bigint, n_mut bigint, n_amb bigint"
@@ -55,33 +53,33 @@ def greedy_collapse(neighbours: list[list[int]], counts: np.ndarray) -> tuple[np
     return alive, counts, merged
 
 
-def _collapse_cells(items: pa.Array, params: Params) -> list[list[dict]]:
-    """Survivors of each packed cell, in UMI order."""
-    out = []
-    for cell in items.to_pylist():
-        umis = [u["umi"] for u in cell]
-        limits = [_threshold(len(u), params.umi_distance) for u in umis]
-        counts = np.array([(u["n_wt"], u["n_mut"], u["n_amb"]) for u in cell], np.int64).reshape(-1, 3)
-        alive, counts, merged = greedy_collapse(neighbour_lists(umis, limits, params.umi_metric), counts)
-        out.append(
-            [
-                {"umi": umis[i], "n_wt": wt, "n_mut": mut, "n_amb": amb, "call": None if merged[i] else cell[i]["call"]}
-                for i, (wt, mut, amb) in enumerate(counts.tolist())
-                if alive[i]
-            ]
-        )
-    return out
+def _collapse_cells(items: pa.Array, params: Params) -> pa.Array:
+    """Survivors of each packed cell, in UMI order; a null call is one to be made anew."""
+    offsets, flat = items.offsets.to_numpy(), items.values
+    umis, calls = flat.field("umi").to_pylist(), flat.field("call").to_pylist()
+    counts = np.stack([flat.field(c).to_numpy(zero_copy_only=False) for c in FIELDS[1:4]], axis=1)
+    kept, sizes = [], [0]
+    for lo, hi in zip(offsets, offsets[1:]):
+        cell = umis[lo:hi]
+        limits = [_threshold(len(u), params.umi_distance) for u in cell]
+        near = neighbour_lists(cell, limits, params.umi_metric) if hi - lo > 1 else [[]] * len(cell)
+        alive, counts[lo:hi], merged = greedy_collapse(near, counts[lo:hi])
+        for i in np.flatnonzero(merged):
+            calls[lo + i] = None
+        kept.append(lo + np.flatnonzero(alive))
+        sizes.append(sizes[-1] + int(alive.sum()))
+    take = np.concatenate([*kept, np.zeros(0, np.int64)]).astype(np.int64)
+    fields = [pa.array([umis[i] for i in take], pa.string()), *[pa.array(counts[take, c]) for c in range(3)],
+              pa.array([calls[i] for i in take], pa.string())]
+    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.StructArray.from_arrays(fields, list(FIELDS)))
 
 
 def _collapse_small(packed: DataFrame, params: Params) -> DataFrame:
-    """Cells packed as ``items`` to one row per surviving UMI; a null call is one to be made anew."""
-    kind = pa.list_(
-        pa.struct([("umi", pa.string()), *[(c, pa.int64()) for c in FIELDS[1:4]], ("call", pa.string())])
-    )
+    """Cells packed as ``items`` to one row per surviving UMI."""
 
     @F.arrow_udf(f"array<struct<{_NODE.replace(' ', ':').replace(',:', ',')},call:string>>")
     def collapse_umis(items: pa.Array) -> pa.Array:
-        return pa.array(_collapse_cells(items, params), type=kind)
+        return _collapse_cells(items, params)
 
     return packed.select("bc", F.inline(collapse_umis("items")))
 
@@ -146,7 +144,7 @@ def _collapse_large(nodes: DataFrame, params: Params, max_component: int) -> Dat
     Components of a bounded size are finished in one task each; the others take one takeover per round,
     after which they may have fallen apart into smaller ones.
     """
-    edges = store(umi_edges(nodes, params))
+    edges = store(umi_edges(nodes, params, max_cell=0))
     while not edges.isEmpty():
         comps = weak_components(edges)
         labelled = store(edges.join(comps.withColumnRenamed("umi", "src"), ["bc", "src"]))
@@ -176,18 +174,10 @@ def collapse_umis(
     pairs: DataFrame, params: Params = Params(), max_cell: int = MAX_CELL, max_component: int = MAX_COMPONENT
 ) -> DataFrame:
     """One row per surviving UMI of a cell with summed counts and its call. ``pairs`` must be stored."""
-    nodes = pairs.select("bc", *FIELDS)
-    sizes = nodes.groupBy("bc").agg(F.count("*").alias("_n"))
-    large = sizes.filter(F.col("_n") > max_cell)
-    if large.isEmpty():
-        out = _collapse_small(pack_cells(nodes, ["bc"], ["umi"], list(FIELDS), []), params)
-    else:
-        marked = mark(nodes, large, ["bc"], sizes, "_n", "umi")
-        small = store(marked.filter("_n IS NULL").drop("_n"))
-        big = store(marked.filter("_n IS NOT NULL").drop("_n"))
-        out = _collapse_small(pack_cells(small, ["bc"], ["umi"], list(FIELDS), []), params).unionByName(
-            _collapse_large(big, params, max_component)
-        )
+    small, large = split_cells(pairs.select("bc", *FIELDS), max_cell)
+    out = _collapse_small(pack_cells(small, ["bc"], ["umi"], list(FIELDS), [], None), params)
+    if large is not None:
+        out = out.unionByName(_collapse_large(large, params, max_component))
     again = collapsed_call(F.col("n_wt"), F.col("n_mut"), params.pcr_threshold)
     return out.select("bc", *FIELDS[:4], F.coalesce("call", again).alias("call"))
 

@@ -1,6 +1,6 @@
 """Directed neighbour graph of the UMIs of a cell.
 
-No step pairs up all UMIs of a cell. A match of cost t leaves all but t characters of the pattern as a
+Cells of bounded size are compared where they are. In larger ones no step pairs up all UMIs. A match of cost t leaves all but t characters of the pattern as a
 subsequence of the text, so UMIs of one length are joined on their subsequences of that size; only a bounded
 number of UMIs of that length share one. For two lengths, or where those subsequences are too many, the
 pattern is cut into t + 1 pieces, one of which must occur in the text unchanged.
@@ -18,9 +18,13 @@ from pyspark.sql import functions as F
 from cellamp.config import Params
 from cellamp.functions.calls import distance_threshold
 from cellamp.functions.distance import METRICS, levenshtein_bound, unanchored_distance
+from cellamp.operators.packing import pack_cells
+from cellamp.operators.skew import mark
 from cellamp.session import store
 
 MAX_VARIANTS = 1000
+# Cells up to this many UMIs are handled as one row; larger ones go through joins.
+MAX_CELL = 2000
 
 
 def _threshold(length: int, distance: float) -> int:
@@ -29,13 +33,13 @@ def _threshold(length: int, distance: float) -> int:
 
 def _subsequences(nodes: DataFrame, length: int, dropped: int) -> DataFrame:
     """One row per node and distinct subsequence with ``dropped`` characters left out."""
-    variants = []
+    masks = []
     for mask in combinations(range(length), dropped):
         cuts = [-1, *mask, length]
-        runs = [(a + 2, b - a - 1) for a, b in zip(cuts, cuts[1:]) if b - a > 1]
-        variants.append(F.array(*[F.array(F.lit(start), F.lit(size)) for start, size in runs]))
+        runs = [f"array({a + 2}, {b - a - 1})" for a, b in zip(cuts, cuts[1:]) if b - a > 1]
+        masks.append(f"array({', '.join(runs)})")
     texts = F.transform(
-        F.array(*variants),
+        F.expr(f"array({', '.join(masks)})"),
         lambda runs: F.array_join(F.transform(runs, lambda r: F.substring("umi", r[0], r[1])), ""),
     )
     return nodes.select("bc", "umi", F.explode(F.array_distinct(texts)).alias("key"))
@@ -89,21 +93,55 @@ def candidate_pairs(nodes: DataFrame, params: Params = Params()) -> DataFrame:
     return reduce(DataFrame.unionByName, found).distinct()
 
 
-def umi_edges(nodes: DataFrame, params: Params = Params()) -> DataFrame:
+def _near_pairs(packed: DataFrame, params: Params) -> DataFrame:
+    """Pairs of each packed cell that pass the native bound; one row of a cell yields only its close pairs."""
+
+    def near(a, b):
+        threshold = distance_threshold(F.length(a), params.umi_distance)
+        close = F.levenshtein(a, b) <= threshold
+        if params.umi_metric == "unanchored":
+            close = (threshold > 0) & levenshtein_bound(a, b, threshold)
+        return (a != b) & close
+
+    def neighbours(a):
+        found = F.filter("umis", lambda b: near(a, b))
+        return F.transform(found, lambda b: F.struct(a.alias("src"), b.alias("dst")))
+
+    umis = packed.select("bc", F.transform("items", lambda i: i["umi"]).alias("umis"))
+    return umis.select("bc", F.inline(F.flatten(F.transform("umis", neighbours))))
+
+
+def umi_edges(nodes: DataFrame, params: Params = Params(), max_cell: int = MAX_CELL) -> DataFrame:
     """Directed non-self edges (bc, src, dst) of UMIs within the distance of their cell's other UMIs.
 
     ``nodes`` holds unique (bc, umi) and must be stored. Every UMI is its own neighbour as well; those
-    edges are left out.
+    edges are left out. Cells up to ``max_cell`` UMIs are brought together once and compared where they are;
+    larger ones go through the join of candidates.
     """
     if params.umi_metric not in METRICS:
         raise ValueError(f"umi_metric must be one of {METRICS}")
     src, dst = F.col("src"), F.col("dst")
     threshold = distance_threshold(F.length(src), params.umi_distance)
-    pairs = candidate_pairs(nodes, params)
+    small, large = split_cells(nodes.select("bc", "umi"), max_cell)
+    pairs = _near_pairs(pack_cells(small, ["bc"], ["umi"], ["umi"], [], None), params)
+    if large is not None:
+        joined = candidate_pairs(large, params)
+        bound = levenshtein_bound(src, dst, threshold)
+        close = F.levenshtein(src, dst) <= threshold if params.umi_metric == "levenshtein" else bound
+        pairs = pairs.unionByName(joined.filter(close))
     if params.umi_metric == "levenshtein":
-        return pairs.filter(F.levenshtein(src, dst) <= threshold)
-    close = pairs.filter(levenshtein_bound(src, dst, threshold))
-    return close.filter(unanchored_distance(src, dst) <= threshold)
+        return pairs
+    return pairs.filter(unanchored_distance(src, dst) <= threshold)
+
+
+def split_cells(nodes: DataFrame, max_cell: int) -> tuple[DataFrame, DataFrame | None]:
+    """Nodes of cells with at most ``max_cell`` UMIs, and of larger cells where there are any."""
+    sizes = nodes.groupBy("bc").agg(F.count("*").alias("_n"))
+    over = sizes.filter(F.col("_n") > max_cell)
+    if over.isEmpty():
+        return nodes, None
+    marked = mark(nodes, over, ["bc"], sizes, "_n", "umi")
+    return store(marked.filter("_n IS NULL").drop("_n")), store(marked.filter("_n IS NOT NULL").drop("_n"))
 
 
 def umi_degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ def not_in_whitelist(reads: DataFrame, whitelist: DataFrame, **options) -> DataF
 
 def _masked(df: DataFrame, bc: str, positions: list[tuple[int, ...]]) -> DataFrame:
     """One row per choice of positions: the characters there, and the barcode without them."""
-    spots = F.explode(F.array(*[F.array(*[F.lit(p) for p in mask]) for mask in positions]))
+    spots = F.explode(F.expr(f"array({', '.join(f'array({", ".join(map(str, mask))})' for mask in positions)})"))
     places = [F.get("_mask", F.lit(i)) for i in range(len(positions[0]))]
     picked = F.concat(*[F.substring(bc, p + 1, F.lit(1)) for p in places])
     ends = [F.lit(-1), *places]
@@ -111,11 +111,27 @@ def hamming_join(observed: DataFrame, whitelist: DataFrame, distance: int, lengt
     return reduce(DataFrame.unionByName, parts)
 
 
-def hamming1_candidates(observed: DataFrame, whitelist: DataFrame, length: int) -> DataFrame:
-    """Whitelist barcodes one substitution away, and the 0-based place of the difference.
+def hamming1_candidates(
+    observed: DataFrame, whitelist: DataFrame, length: int, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Whitelist barcodes one substitution away: (obs, bc, wl_idx, pos) and any other whitelist column.
 
-    As in the enumeration of neighbours, only the letters of CHARSET can be put into a barcode.
+    Only the letters of CHARSET can be put into a barcode. Against a whitelist of broadcast size every
+    neighbour of an observed barcode is looked up where it is, without a shuffle; a longer whitelist is
+    joined on the barcodes without the place in question.
     """
+    extra = [c for c in whitelist.columns if c not in ("bc", "wl_idx")]
+    columns = ["obs", "bc", "wl_idx", "pos", *extra]
+    if fits_broadcast(whitelist, broadcast_rows):
+        places = ", ".join(f"named_struct('pos', {p}, 'letter', '{c}')" for p in range(length) for c in CHARSET)
+        obs = observed.select(F.col("bc").alias("obs")).filter(F.length("obs") == length)
+        spots = obs.select("obs", F.inline(F.expr(f"array({places})")))
+        spots = spots.filter(F.substring("obs", F.col("pos") + 1, F.lit(1)) != F.col("letter"))
+        before = F.substring("obs", F.lit(1), F.col("pos"))
+        after = F.substring("obs", F.col("pos") + 2, F.lit(length))
+        neighbours = spots.select("obs", "pos", F.concat(before, "letter", after).alias("bc"))
+        return neighbours.join(F.broadcast(whitelist), "bc").select(*columns)
     pairs = hamming_pairs(observed, whitelist, 1, length).withColumn("pos", F.get("positions", F.lit(0)))
     letter = F.substring("bc", F.col("pos") + 1, F.lit(1))
-    return pairs.filter(letter.isin(*CHARSET)).select("obs", "bc", "wl_idx", "pos")
+    pairs = pairs.filter(letter.isin(*CHARSET)).select("obs", "bc", "wl_idx", "pos")
+    return pairs.join(whitelist.drop("wl_idx"), "bc").select(*columns) if extra else pairs

@@ -67,11 +67,15 @@ class GenotypeRun:
     def pairs(self) -> DataFrame:
         """Counts per barcode and UMI over all chunks.
 
-        Representatives are not needed for these, so only counts are shuffled.
+        Representatives are not needed for these, so only counts are shuffled, unless the merge table with
+        the same counts has already been made.
         """
-        counts = dedup.duplicate_counts(self.corrected, self.config, self.params)
-        if self.params.dupcut > 1:
-            counts = cells.surviving_rows(store(counts), self.params)
+        if "merged" in self.__dict__:
+            counts = self.merged.drop("first_seen")
+        else:
+            counts = dedup.duplicate_counts(self.corrected, self.config, self.params)
+            counts = store(counts) if self.params.dupcut > 1 else counts
+        counts = cells.surviving_rows(counts, self.params)
         return store(combine.sum_pairs(counts, self.params))
 
     @cached_property

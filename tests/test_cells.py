@@ -40,8 +40,9 @@ def test_hamming_join(spark):
 def test_candidates_only_from_the_letters(spark):
     obs = spark.createDataFrame([("AAAA",)], "bc string")
     wl = spark.createDataFrame([("AAAN", 1), ("XAAA", 0), ("AACA", 2), ("AA", 3)], "bc string, wl_idx bigint")
-    got = whitelist.hamming1_candidates(obs, wl, 4).collect()
-    assert {(r.bc, r.pos) for r in got} == {("AAAN", 3), ("AACA", 2)}
+    for limit in (10, 0):
+        got = whitelist.hamming1_candidates(obs, wl, 4, broadcast_rows=limit).collect()
+        assert {(r.bc, r.pos) for r in got} == {("AAAN", 3), ("AACA", 2)}
 
 
 def test_both_whitelist_joins_agree(run):
@@ -165,11 +166,12 @@ def test_edges(spark, metric, distance, lengths):
     rows = _random_cells(3, (25, 1, 12), lengths)
     pairs = store(spark.createDataFrame(rows, SCHEMA))
     params = Params(umi_distance=distance, umi_metric=metric)
-    got = {(r.bc, r.src, r.dst) for r in umi_graph.umi_edges(pairs, params).collect()}
+    found = [umi_graph.umi_edges(pairs, params, limit).collect() for limit in (2000, 15, 0)]
     fn = brute.levenshtein if metric == "levenshtein" else brute.substring_distance
     expected = {(bc, a, b) for bc, cell in brute.cells_of([dict(zip(("bc", "umi", "n_wt", "n_mut", "n_amb", "call"), r)) for r in rows]).items()
                 for a, b in brute.edges(cell, distance, fn)}
-    assert got == expected
+    for edges in found:
+        assert len(edges) == len(expected) and {(r.bc, r.src, r.dst) for r in edges} == expected
 
 
 @pytest.mark.parametrize("limits", [{}, {"max_cell": 3}, {"max_cell": 3, "max_component": 6}, {"max_cell": 20, "max_component": 0}])
