@@ -41,6 +41,11 @@ def error_sum(quality: Column) -> Column:
     )
 
 
+def unknown_symbols(quality: Column) -> Column:
+    """Number of symbols outside Q0..Q41, which count as no score and no error."""
+    return F.length(F.regexp_replace(quality, f"[{chr(OFFSET)}-{chr(OFFSET + MAX_Q)}]", ""))
+
+
 def score_at(quality: Column, pos: Column) -> Column:
     """Score at a 0-based position; missing or unknown counts as 0."""
     return F.coalesce(symbol_score(F.substring(quality, pos + 1, F.lit(1))), F.lit(0))

@@ -117,7 +117,7 @@ def decide(unlisted: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def with_candidates(
-    unlisted: DataFrame, observed: DataFrame, whitelist: DataFrame, params: Params = Params()
+    unlisted: DataFrame, observed: DataFrame, whitelist: DataFrame, params: Params = Params(), how: str = "left"
 ) -> DataFrame:
     """Reads outside the whitelist with the candidates of their barcode, hot barcodes salted.
 
@@ -125,14 +125,19 @@ def with_candidates(
     """
     keys = [*params.chunk_cols, "bc"]
     candidates = barcode_candidates(observed, whitelist, params)
-    return salted_lookup(unlisted, candidates, keys, observed, "n_reads", "read_id", "left")
+    return salted_lookup(unlisted, candidates, keys, observed, "n_reads", "read_id", how)
 
 
-def changed_reads(primed: DataFrame, whitelist: DataFrame, params: Params = Params()) -> DataFrame:
-    """The reads outside the whitelist, each with its rescue status and replacement. ``primed`` must be stored."""
+def changed_reads(
+    primed: DataFrame, whitelist: DataFrame, params: Params = Params(), how: str = "left"
+) -> DataFrame:
+    """The reads outside the whitelist, each with its rescue status and replacement. ``primed`` must be stored.
+
+    With ``how`` "inner" reads without any candidate are left out.
+    """
     observed = store(listed_barcodes(observed_barcodes(primed, params.chunk_cols), whitelist))
     unlisted = flag_whitelisted(primed, whitelist).filter("whitelist = 'N'")
-    return decide(with_candidates(unlisted, observed, whitelist, params), params)
+    return decide(with_candidates(unlisted, observed, whitelist, params, how), params)
 
 
 def corrected_reads(primed: DataFrame, whitelist: DataFrame, params: Params = Params()) -> DataFrame:
@@ -141,6 +146,6 @@ def corrected_reads(primed: DataFrame, whitelist: DataFrame, params: Params = Pa
     ``primed`` must be stored: it is scanned for the counts and for each of the two parts.
     """
     listed = flag_whitelisted(primed, whitelist).filter("whitelist = 'Y'").withColumn("part", F.lit(0))
-    rescued = changed_reads(primed, whitelist, params).filter(F.col("status") == RESCUED)
+    rescued = changed_reads(primed, whitelist, params, "inner").filter(F.col("status") == RESCUED)
     rescued = rescued.withColumn("bc", F.col("replaced_bc")).withColumn("part", F.lit(1))
     return listed.unionByName(rescued.select(listed.columns))

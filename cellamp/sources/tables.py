@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellamp.config import CIRC_REGIONS, LINEAR_REGIONS, Region, RegionConfig
+from cellamp.functions.calls import clean_field
 from cellamp.functions.phred import symbols_from_packed
 from cellamp.operators.whitelist import ordered_whitelist
 from cellamp.sources.text import indexed_lines
@@ -92,7 +93,7 @@ def _header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_chunk_tables(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Barcode, UMI and count columns of chunk tables as text, nulls empty, with columns that order the rows.
+    """Barcode, UMI and count columns of chunk tables as text, nulls empty and quotes removed, with columns that order the rows.
 
     The schema is never inferred: a packed count column looks like an integer until its first long cell.
     """
@@ -106,7 +107,7 @@ def read_chunk_tables(spark: SparkSession, paths: list[str]) -> DataFrame:
         .option("enforceSchema", False).csv(paths)
     )
     return table.select(
-        *[F.coalesce(f"`{c}`", F.lit("")).alias(n) for c, n in CHUNK_COLUMNS.items()],
+        *[clean_field(F.col(f"`{c}`")).alias(n) for c, n in CHUNK_COLUMNS.items()],
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("within"),

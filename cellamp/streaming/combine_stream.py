@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cellamp.config import Params
+from cellamp.functions.calls import clean_field
 from cellamp.operators.combine import PACKED, sum_pairs, unpack
 from cellamp.sources.tables import CHUNK_COLUMNS
 
@@ -23,7 +24,7 @@ def combine_stream(
     tables = (
         spark.readStream.schema(schema).option("sep", "\t").option("quote", "").option("header", True)
         .option("recursiveFileLookup", True).option("pathGlobFilter", pattern).csv(folder)
-        .select(*[F.coalesce(f"`{c}`", F.lit("")).alias(n) for c, n in CHUNK_COLUMNS.items()])
+        .select(*[clean_field(F.col(f"`{c}`")).alias(n) for c, n in CHUNK_COLUMNS.items()])
     )
 
     def add(batch: DataFrame, batch_id: int) -> None:

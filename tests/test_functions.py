@@ -33,6 +33,7 @@ def test_phred(spark):
     assert one(spark, phred.error_sum(F.lit("!IK"))) == 100010
     assert one(spark, phred.score_sum(F.lit("I~J"))) == 81
     assert [one(spark, phred.score_at(F.lit("5I~"), F.lit(i))) for i in (0, 1, 2, 3)] == [20, 40, 0, 0]
+    assert one(spark, phred.unknown_symbols(F.lit("!~IJKé"))) == 3
     assert one(spark, phred.symbols_from_packed(F.lit("40;;x;20;"))) == "I!!5"
 
 

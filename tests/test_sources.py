@@ -105,7 +105,8 @@ def _chunk_folder(spark, run, sf_dir, root):
     """Chunk tables as text files below four-digit folders, as separate runs leave them."""
     params = replace(run.params, dupcut=2, chunk_cols=("chunk_id",))
     reads = chunks.assign_chunks(fixture.reads(spark, sf_dir), 400)
-    parts = store(queries.GenotypeRun(reads, run.stored_whitelist, run.config, params).cell_summary)
+    chunked = queries.GenotypeRun(reads, run.stored_whitelist, run.config, params)
+    parts = store(chunked.cell_summary)
     for i in (r.chunk_id for r in parts.select("chunk_id").distinct().collect()):
         folder = os.path.join(root, f"{i:04d}")
         sinks.write_cell_summary(parts.filter(F.col("chunk_id") == i), folder + ".d", one_file=True)
@@ -113,12 +114,12 @@ def _chunk_folder(spark, run, sf_dir, root):
         (written,) = [f for f in os.listdir(folder + ".d") if f.endswith(".csv")]
         with open(os.path.join(folder + ".d", written)) as src, open(f"{folder}/s.summTable.txt", "w") as dst:
             dst.write(src.read())
-    return parts
+    return parts, chunked.pairs
 
 
 def test_chunk_tables_and_stream(spark, run, sf_dir, tmp_path):
     root = str(tmp_path)
-    parts = _chunk_folder(spark, run, sf_dir, root)
+    parts, unpacked = _chunk_folder(spark, run, sf_dir, root)
     paths = tables.chunk_table_paths(spark, root, "other")
     assert len(paths) == parts.select("chunk_id").distinct().count() > 1
     pairs = combine.sum_pairs(combine.unpack(tables.read_chunk_tables(spark, paths), tables.ROW_ORDER))
@@ -130,6 +131,7 @@ def test_chunk_tables_and_stream(spark, run, sf_dir, tmp_path):
     )
     names = ["bc", "umi", "n_wt", "n_mut", "n_amb", "call"]
     assert pairs.select(names).exceptAll(direct.select(names)).isEmpty() and pairs.count() == direct.count()
+    assert unpacked.select(names).exceptAll(direct.select(names)).isEmpty() and unpacked.count() == direct.count()
     orders = [
         [r.bc for r in combine.ordered_pairs(store(p)).select("bc", "umi").collect()] for p in (pairs, direct)
     ]
