@@ -1,8 +1,8 @@
 """FASTQ read pairs as a Spark data source, and as splittable text.
 
-``format("fastq_pair")`` reads the two mates of a file in lockstep, one task per pair of files; gzip files
-cannot be split anyway. Large uncompressed files go through :func:`split_fastq_pairs`, which reads them in
-blocks and joins the mates on their place in the file.
+``format("fastq_pair")`` reads the two mates of a file in lockstep, one task per pair of files; a gzip file
+cannot be split anyway. Large uncompressed files, and files on other file systems, go through
+:func:`split_fastq_pairs`, which reads them in blocks and joins the mates on their place in the file.
 """
 
 from __future__ import annotations
@@ -10,20 +10,19 @@ from __future__ import annotations
 import gzip
 import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from cellamp.sources.text import indexed_lines
+from cellamp.sources.text import ORDINAL_BITS, file_size, indexed_lines
 
 READ_SCHEMA = (
     "read_id bigint, file_id int, header_r1 string, seq_r1 string, qual_r1 string, "
     "header_r2 string, seq_r2 string, qual_r2 string"
 )
-# Room for 2**40 reads in a file and 2**23 files in one read id.
-ORDINAL_BITS = 40
 _BATCH = 20_000
 
 
@@ -55,10 +54,11 @@ class FastqPairReader(DataSourceReader):
         if not options.get("r1") or len(first) != len(second):
             raise ValueError("options r1 and r2 must list the same number of files")
         self.truncate = options.get("unequal", "error") == "truncate"
-        self.pairs = list(zip(first, second))
+        ids = options.get("file_ids")
+        self.pairs = list(zip(map(int, ids.split(",")) if ids else range(len(first)), first, second))
 
     def partitions(self):
-        return [_FilePair(i, a, b) for i, (a, b) in enumerate(self.pairs)]
+        return [_FilePair(*pair) for pair in self.pairs]
 
     def read(self, partition):
         names = ["read_id", "file_id", "header_r1", "seq_r1", "qual_r1", "header_r2", "seq_r2", "qual_r2"]
@@ -75,7 +75,10 @@ class FastqPairReader(DataSourceReader):
 
 
 class FastqPairSource(DataSource):
-    """Options ``r1`` and ``r2``: comma-separated files of equal number. ``unequal``: ``error`` or ``truncate``."""
+    """Options ``r1`` and ``r2``: comma-separated files of equal number, on a file system every executor mounts.
+
+    ``unequal``: ``error`` or ``truncate``. ``file_ids``: numbers of the pairs, by default 0, 1, ...
+    """
 
     @classmethod
     def name(cls):
@@ -88,36 +91,69 @@ class FastqPairSource(DataSource):
         return FastqPairReader(self.options)
 
 
-def read_fastq_pairs(spark: SparkSession, r1: list[str], r2: list[str], unequal: str = "error") -> DataFrame:
-    """Read pairs of FASTQ files on a file system every executor mounts; ``.gz`` files are decompressed."""
-    spark.dataSource.register(FastqPairSource)
-    return spark.read.format("fastq_pair").options(r1=",".join(r1), r2=",".join(r2), unequal=unequal).load()
-
-
-def _split_records(spark: SparkSession, path: str) -> DataFrame:
-    lines = indexed_lines(spark, path)
+def read_fastq_pairs(
+    spark: SparkSession, r1: list[str], r2: list[str], unequal: str = "error", split_bytes: int = 256 << 20
+) -> DataFrame:
+    """Read pairs of FASTQ files, plain or gzip; ``read_id`` orders the reads by pair and place.
+
+    Uncompressed files larger than ``split_bytes`` are read in blocks, so that one large file does not
+    become one large task. When gzip files are few or one of them holds much more than its share, their
+    reads are spread over the cluster as soon as they are decompressed.
+    """
+    if not r1 or len(r1) != len(r2):
+        raise ValueError("r1 and r2 must list the same number of files")
+    sizes = [file_size(spark, a) + file_size(spark, b) for a, b in zip(r1, r2)]
+
+    def in_blocks(i: int) -> bool:
+        remote = "://" in r1[i].removeprefix("file://") or "://" in r2[i].removeprefix("file://")
+        return remote or (sizes[i] > split_bytes and not (r1[i] + r2[i]).lower().endswith(".gz"))
+
+    split = [i for i in range(len(r1)) if in_blocks(i)]
+    whole = [i for i in range(len(r1)) if not in_blocks(i)]
+    parts = []
+    if whole:
+        spark.dataSource.register(FastqPairSource)
+        options = {
+            "r1": ",".join(r1[i] for i in whole), "r2": ",".join(r2[i] for i in whole),
+            "file_ids": ",".join(map(str, whole)), "unequal": unequal,
+        }
+        reads = spark.read.format("fastq_pair").options(**options).load()
+        total, largest = sum(sizes[i] for i in whole), max(sizes[i] for i in whole)
+        cores = spark.sparkContext.defaultParallelism
+        uneven = largest * len(whole) > 4 * total or len(whole) < cores
+        if largest > split_bytes and uneven:
+            reads = reads.repartition(max(cores, total // (32 << 20)), "read_id")
+        parts.append(reads)
+    if split:
+        parts.append(split_fastq_pairs(spark, [r1[i] for i in split], [r2[i] for i in split], split, unequal))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _split_records(spark: SparkSession, paths: list[str], mate: int) -> DataFrame:
+    lines = indexed_lines(spark, paths)
     place = F.col("line_no") % 4
-    return lines.groupBy((F.col("line_no") / 4).cast("bigint").alias("ordinal")).agg(
-        *[F.max(F.when(place == i, F.col("value"))).alias(name) for i, name in ((0, "header"), (1, "seq"), (3, "qual"))]
+    fields = ((0, f"header_r{mate}"), (1, f"seq_r{mate}"), (3, f"qual_r{mate}"))
+    return lines.groupBy("file_no", F.floor(F.col("line_no") / 4).alias("ordinal")).agg(
+        *[F.max(F.when(place == i, F.col("value"))).alias(name) for i, name in fields]
     )
 
 
-def split_fastq_pairs(spark: SparkSession, r1: str, r2: str, file_id: int = 0, unequal: str = "error") -> DataFrame:
-    """One pair of large uncompressed files, read in blocks by many tasks and joined on the record number."""
-    first = _split_records(spark, r1).select(
-        "ordinal", F.col("header").alias("header_r1"), F.col("seq").alias("seq_r1"), F.col("qual").alias("qual_r1")
-    )
-    second = _split_records(spark, r2).select(
-        "ordinal", F.col("header").alias("header_r2"), F.col("seq").alias("seq_r2"), F.col("qual").alias("qual_r2")
-    )
+def split_fastq_pairs(
+    spark: SparkSession, r1: list[str], r2: list[str], file_ids: list[int] | None = None, unequal: str = "error"
+) -> DataFrame:
+    """Pairs of large files, read in blocks by many tasks and joined on file and record number."""
+    first, second = _split_records(spark, r1, 1), _split_records(spark, r2, 2)
+    place = ["file_no", "ordinal"]
     if unequal == "error":
-        pairs = first.join(second, "ordinal", "full")
+        pairs = first.join(second, place, "full")
         whole = F.col("qual_r1").isNotNull() & F.col("qual_r2").isNotNull()
-        message = F.lit(f"{r1} and {r2} differ in their number of reads")
+        message = F.concat(F.lit("the mates of pair "), F.col("file_no").cast("string"), F.lit(" differ in their number of reads"))
         pairs = pairs.withColumn("ordinal", F.when(whole, F.col("ordinal")).otherwise(F.raise_error(message)))
     else:
-        pairs = first.join(second, "ordinal")
+        pairs = first.join(second, place)
+    numbers = F.expr(f"array({', '.join(map(str, file_ids or range(len(r1))))})")
+    pairs = pairs.withColumn("file_id", F.get(numbers, F.col("file_no")))
     return pairs.select(
-        (F.lit(file_id).cast("bigint") * (1 << ORDINAL_BITS) + F.col("ordinal")).alias("read_id"),
-        F.lit(file_id).alias("file_id"), "header_r1", "seq_r1", "qual_r1", "header_r2", "seq_r2", "qual_r2",
+        (F.col("file_id").cast("bigint") * (1 << ORDINAL_BITS) + F.col("ordinal")).alias("read_id"),
+        "file_id", "header_r1", "seq_r1", "qual_r1", "header_r2", "seq_r2", "qual_r2",
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -10,7 +10,7 @@ from cellamp.config import CIRC_REGIONS, LINEAR_REGIONS, Region, RegionConfig
 from cellamp.functions.calls import clean_field
 from cellamp.functions.phred import symbols_from_packed
 from cellamp.operators.whitelist import ordered_whitelist
-from cellamp.sources.text import indexed_lines
+from cellamp.sources.text import ORDINAL_BITS, indexed_lines
 
 LOOKED_LINEAR = (
     "bc", "bc_q", "umi", "mm_primer", "mm_shared", "mm_wt", "mm_mut",
@@ -22,6 +22,11 @@ CHUNK_COLUMNS = {
 }
 
 
+def _place() -> Column:
+    """File and line as one number that orders lines."""
+    return F.col("file_no").cast("bigint") * (1 << ORDINAL_BITS) + F.col("line_no")
+
+
 def read_regions(spark: SparkSession, path: str, mode: str = "linear") -> RegionConfig:
     """Layout from a tab-separated file of sequence, start and end, one region per line in fixed order."""
     names = CIRC_REGIONS if mode == "circ" else LINEAR_REGIONS
@@ -34,8 +39,8 @@ def read_regions(spark: SparkSession, path: str, mode: str = "linear") -> Region
 
 def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
     """Barcodes with their order in the file; blank lines are skipped and the first of equal lines counts."""
-    lines = indexed_lines(spark, path).select(F.col("value").alias("bc"), F.col("line_no").alias("position"))
-    return ordered_whitelist(lines, (F.col("position") / 65536).cast("bigint"))
+    lines = indexed_lines(spark, path).select(F.col("value").alias("bc"), _place().alias("position"))
+    return ordered_whitelist(lines, F.floor(F.col("position") / 65536))
 
 
 def read_looked(spark: SparkSession, path: str) -> DataFrame:
@@ -45,9 +50,9 @@ def read_looked(spark: SparkSession, path: str) -> DataFrame:
     shared mismatch count is no integer. The averages stand in for the error sums: they order reads alike.
     """
     fields = F.split("value", "\t")
-    rows = indexed_lines(spark, path).select("line_no", fields.alias("f"))
+    rows = indexed_lines(spark, path).select(_place().alias("read_id"), fields.alias("f"))
     rows = rows.filter((F.size("f") >= len(LOOKED_LINEAR)) & (F.col("f")[0] != "BC"))
-    named = rows.select(F.col("line_no").alias("read_id"), *[F.col("f")[i].alias(n) for i, n in enumerate(LOOKED_LINEAR)])
+    named = rows.select("read_id", *[F.col("f")[i].alias(n) for i, n in enumerate(LOOKED_LINEAR)])
     typed = named.select(
         "read_id", "bc", symbols_from_packed(F.col("bc_q")).alias("bc_qual"), "umi",
         *[F.trim(n).try_cast("int").alias(n) for n in LOOKED_LINEAR if n.startswith("mm_")],

@@ -48,7 +48,7 @@ def test_fastq_pairs(spark, rows, tmp_path):
 
 def test_unequal_mates(spark, rows, tmp_path):
     r1, r2 = _fastq(tmp_path / "1.fastq", rows[:10], 1), _fastq(tmp_path / "2.fastq", rows[:8], 2)
-    for read in (lambda u: fastq.read_fastq_pairs(spark, [r1], [r2], u), lambda u: fastq.split_fastq_pairs(spark, r1, r2, 0, u)):
+    for read in (lambda u: fastq.read_fastq_pairs(spark, [r1], [r2], u), lambda u: fastq.split_fastq_pairs(spark, [r1], [r2], unequal=u)):
         with pytest.raises(Exception, match="differ in their number of reads"):
             read("error").collect()
         assert read("truncate").count() == 8
@@ -59,14 +59,27 @@ def test_split_fastq_in_blocks(spark, rows, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        df = fastq.split_fastq_pairs(spark, r1, r2)
         assert spark.read.text(r1).rdd.getNumPartitions() > 3
-        assert _plain(df) == _plain(fastq.read_fastq_pairs(spark, [r1], [r2]))
+        small = [_fastq(tmp_path / f"s{m}.fastq", rows[:7], m) for m in (1, 2)]
+        again = [_fastq(tmp_path / f"t {m}.fastq", rows[50:], m) for m in (1, 2)]
+        files = [small[0], r1, again[0]], [small[1], r2, again[1]]
+        blocks = fastq.read_fastq_pairs(spark, *files, split_bytes=5000)
+        whole = fastq.read_fastq_pairs(spark, *files)
+        assert _plain(blocks) == _plain(whole)
+        ids = [sorted((r.read_id, r.file_id) for r in df.select("read_id", "file_id").collect()) for df in (blocks, whole)]
+        assert ids[0] == ids[1] and len(ids[0]) == 357
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_large_gzip_files_are_spread(spark, rows, tmp_path):
+    r1, r2 = _fastq(tmp_path / "1.fastq.gz", rows, 1, True), _fastq(tmp_path / "2.fastq.gz", rows, 2, True)
+    spread = fastq.read_fastq_pairs(spark, [r1], [r2], split_bytes=10)
+    assert spread.rdd.getNumPartitions() >= 8
+    assert _plain(spread) == _plain(fastq.read_fastq_pairs(spark, [r1], [r2]))
+
+
 def test_regions_and_whitelist(spark, tmp_path):
     layout = tmp_path / "regions.config"
     layout.write_text("".join(f"{r.seq}\t{r.start}\t{r.end}\n" + ("\n" if r.name == "wt" else "") for r in fixture.CIRC.regions))
