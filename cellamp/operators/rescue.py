@@ -128,24 +128,27 @@ def with_candidates(
     return salted_lookup(unlisted, candidates, keys, observed, "n_reads", "read_id", how)
 
 
-def changed_reads(
-    primed: DataFrame, whitelist: DataFrame, params: Params = Params(), how: str = "left"
+def _changed(
+    primed: DataFrame, flagged: DataFrame, whitelist: DataFrame, params: Params, how: str
 ) -> DataFrame:
-    """The reads outside the whitelist, each with its rescue status and replacement. ``primed`` must be stored.
-
-    With ``how`` "inner" reads without any candidate are left out.
-    """
     observed = store(listed_barcodes(observed_barcodes(primed, params.chunk_cols), whitelist))
-    unlisted = flag_whitelisted(primed, whitelist).filter("whitelist = 'N'")
+    unlisted = flagged.filter("whitelist = 'N'")
     return decide(with_candidates(unlisted, observed, whitelist, params, how), params)
 
 
+def changed_reads(primed: DataFrame, whitelist: DataFrame, params: Params = Params()) -> DataFrame:
+    """The reads outside the whitelist, each with its rescue status and replacement. ``primed`` must be stored."""
+    return _changed(primed, flag_whitelisted(primed, whitelist), whitelist, params, "left")
+
+
 def corrected_reads(primed: DataFrame, whitelist: DataFrame, params: Params = Params()) -> DataFrame:
     """Whitelisted reads (``part`` 0) and rescued reads under their new barcode (``part`` 1).
 
-    ``primed`` must be stored: it is scanned for the counts and for each of the two parts.
+    ``primed`` must be stored: it is scanned for the counts and for each of the two parts. Reads without any
+    candidate are left out by the join that brings the candidates.
     """
-    listed = flag_whitelisted(primed, whitelist).filter("whitelist = 'Y'").withColumn("part", F.lit(0))
-    rescued = changed_reads(primed, whitelist, params, "inner").filter(F.col("status") == RESCUED)
+    flagged = flag_whitelisted(primed, whitelist)
+    listed = flagged.filter("whitelist = 'Y'").withColumn("part", F.lit(0))
+    rescued = _changed(primed, flagged, whitelist, params, "inner").filter(F.col("status") == RESCUED)
     rescued = rescued.withColumn("bc", F.col("replaced_bc")).withColumn("part", F.lit(1))
     return listed.unionByName(rescued.select(listed.columns))

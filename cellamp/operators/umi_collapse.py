@@ -19,7 +19,7 @@ from cellamp.functions.distance import neighbour_lists
 from cellamp.operators.packing import MAX_PACKED, pack_cells, packed_text
 from cellamp.operators.skew import mark
 from cellamp.operators.umi_graph import MAX_CELL, _threshold, split_cells, umi_edges, weak_components
-from cellamp.session import store
+from cellamp.session import by_cell, store
 
 FIELDS = ("umi", "n_wt", "n_mut", "n_amb", "call")
 # Components of large cells up to this many edges are collapsed inside one task.
@@ -175,7 +175,7 @@ def collapse_umis(
 ) -> DataFrame:
     """One row per surviving UMI of a cell with summed counts and its call. ``pairs`` must be stored."""
     small, large = split_cells(pairs.select("bc", *FIELDS), max_cell)
-    out = _collapse_small(pack_cells(small, ["bc"], ["umi"], list(FIELDS), [], None), params)
+    out = _collapse_small(pack_cells(by_cell(small), ["bc"], ["umi"], list(FIELDS), [], None), params)
     if large is not None:
         out = out.unionByName(_collapse_large(large, params, max_component))
     again = collapsed_call(F.col("n_wt"), F.col("n_mut"), params.pcr_threshold)

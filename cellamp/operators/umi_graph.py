@@ -20,7 +20,7 @@ from cellamp.functions.calls import distance_threshold
 from cellamp.functions.distance import METRICS, levenshtein_bound, unanchored_distance
 from cellamp.operators.packing import pack_cells
 from cellamp.operators.skew import mark
-from cellamp.session import store
+from cellamp.session import by_cell, store
 
 MAX_VARIANTS = 1000
 # Cells up to this many UMIs are handled as one row; larger ones go through joins.
@@ -123,7 +123,7 @@ def umi_edges(nodes: DataFrame, params: Params = Params(), max_cell: int = MAX_C
     src, dst = F.col("src"), F.col("dst")
     threshold = distance_threshold(F.length(src), params.umi_distance)
     small, large = split_cells(nodes.select("bc", "umi"), max_cell)
-    pairs = _near_pairs(pack_cells(small, ["bc"], ["umi"], ["umi"], [], None), params)
+    pairs = _near_pairs(pack_cells(by_cell(small), ["bc"], ["umi"], ["umi"], [], None), params)
     if large is not None:
         joined = candidate_pairs(large, params)
         bound = levenshtein_bound(src, dst, threshold)
