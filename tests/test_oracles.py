@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cellamp.plans.queries import QUERIES
 
 TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double"}
 
@@ -26,10 +27,10 @@ def _rows(frame):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, sf_dir, duck, shared_runs):
     result = entry.queries()[name](spark, sf_dir)
     expected = duck.execute(entry.oracle_sql()[name])
