@@ -21,7 +21,8 @@ from cellamp.session import store
 SHINGLE = 5
 # One hash in FRACTION is kept.
 FRACTION = 8
-_RANGE_BITS = 32
+# Hashes are cut to this many bits, so that a sketch is an array of non-negative integers.
+_RANGE_BITS = 31
 
 
 def word_hashes(text: Column) -> Column:
@@ -29,14 +30,14 @@ def word_hashes(text: Column) -> Column:
 
 
 def sketch_of(hashes: Column, words: int = SHINGLE, fraction: int = FRACTION) -> Column:
-    """Sorted distinct 32-bit shingle hashes below the threshold, from a column of word hashes.
+    """Sorted distinct shingle hashes below the threshold, from a column of word hashes.
 
     ``hashes`` should be a plain column, since it is used once per shingle.
     """
     count = F.greatest(F.size(hashes) - words + 1, F.least(F.size(hashes), F.lit(1)))
     places = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
     shingles = F.transform(
-        places, lambda at: F.shiftrightunsigned(F.xxhash64(F.slice(hashes, at, words)), 64 - _RANGE_BITS)
+        places, lambda at: F.shiftrightunsigned(F.xxhash64(F.slice(hashes, at, words)), 64 - _RANGE_BITS).cast("int")
     )
     # One running pass keeps what is below the threshold and the smallest of all.
     below = F.array_sort(F.array_distinct(F.filter(shingles, lambda h: h < (1 << _RANGE_BITS) // fraction)))
