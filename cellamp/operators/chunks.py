@@ -22,9 +22,9 @@ def chunk_reads(total: int, target: int) -> int:
 
 
 def assign_chunks(
-    reads: DataFrame, target_reads: int, seed: int = 0, max_chunks: int = 0, total: int | None = None
+    reads: DataFrame, target_reads: int, seed: int = 0, total: int | None = None
 ) -> DataFrame:
-    """Append ``chunk_id`` in the order of a seeded random permutation; optionally keep the first chunks only.
+    """Append ``chunk_id`` in the order of a seeded random permutation; every read gets one.
 
     The permutation orders reads by a hash of their id, so its leading digits cut the reads into even
     buckets that are ranked independently.
@@ -35,5 +35,4 @@ def assign_chunks(
     bucket = F.substring("_key", 1, digits)
     ranked = bucketed_rank(keyed, bucket, [F.col("_key"), F.col("read_id")], "_rank").drop("_key")
     size = chunk_reads(total, target_reads)
-    out = ranked.withColumn("chunk_id", F.floor(F.col("_rank") / size).cast("int")).drop("_rank")
-    return out.filter(F.col("chunk_id") < max_chunks) if max_chunks > 0 else out
+    return ranked.withColumn("chunk_id", F.floor(F.col("_rank") / size).cast("int")).drop("_rank")

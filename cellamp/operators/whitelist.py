@@ -7,6 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from cellamp.operators.ranking import bucketed_rank
 from cellamp.operators.skew import BROADCAST_ROWS, fits_broadcast, salted_lookup
@@ -18,13 +19,16 @@ CHARSET = "ACGTN"
 def ordered_whitelist(barcodes: DataFrame, bucket: Column | None = None) -> DataFrame:
     """``(bc, position)`` to unique barcodes with a dense 0-based ``wl_idx`` in order of first occurrence.
 
-    ``bucket`` is a coarse non-decreasing function of ``position``, by default its first 8 characters.
+    ``bucket`` is a coarse non-decreasing function of ``position``, by default the first 8 characters of
+    a text and the multiple of 65,536 below a number.
     """
     first = (
         barcodes.filter(F.trim("bc") != "").groupBy(F.trim("bc").alias("bc")).agg(F.min("position").alias("position"))
     )
-    coarse = F.substring(F.col("position").cast("string"), 1, 8) if bucket is None else bucket
-    return bucketed_rank(first, coarse, [F.col("position")], "wl_idx").select("bc", "wl_idx")
+    if bucket is None:
+        is_text = isinstance(first.schema["position"].dataType, StringType)
+        bucket = F.substring("position", 1, 8) if is_text else F.floor(F.col("position") / 65_536)
+    return bucketed_rank(first, bucket, [F.col("position")], "wl_idx").select("bc", "wl_idx")
 
 
 def observed_barcodes(reads: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
@@ -76,7 +80,7 @@ def _masked(df: DataFrame, bc: str, positions: list[tuple[int, ...]]) -> DataFra
 
 
 def hamming_pairs(observed: DataFrame, whitelist: DataFrame, distance: int, length: int) -> DataFrame:
-    """Pairs of equally long barcodes that differ in exactly ``distance`` places: (obs, bc, wl_idx, positions).
+    """Pairs of barcodes of ``length`` letters that differ in exactly ``distance`` places: (obs, bc, wl_idx, positions).
 
     Both sides are expanded once per choice of the differing places and joined on the rest. ``observed``
     and ``whitelist`` hold unique barcodes, so a join key meets at most as many whitelist rows as there are
@@ -123,15 +127,18 @@ def hamming1_candidates(
     extra = [c for c in whitelist.columns if c not in ("bc", "wl_idx")]
     columns = ["obs", "bc", "wl_idx", "pos", *extra]
     if fits_broadcast(whitelist, broadcast_rows):
-        places = ", ".join(f"named_struct('pos', {p}, 'letter', '{c}')" for p in range(length) for c in CHARSET)
-        obs = observed.select(F.col("bc").alias("obs")).filter(F.length("obs") == length)
-        spots = obs.select("obs", F.inline(F.expr(f"array({places})")))
+        obs = observed.select(F.col("bc").alias("obs")).filter(F.length("obs") > 0)
+        places = obs.select("obs", F.explode(F.expr("sequence(0, length(obs) - 1)")).alias("pos"))
+        spots = places.select("obs", "pos", F.explode(F.array(*map(F.lit, CHARSET))).alias("letter"))
         spots = spots.filter(F.substring("obs", F.col("pos") + 1, F.lit(1)) != F.col("letter"))
         before = F.substring("obs", F.lit(1), F.col("pos"))
-        after = F.substring("obs", F.col("pos") + 2, F.lit(length))
+        after = F.substring("obs", F.col("pos") + 2, F.length("obs"))
         neighbours = spots.select("obs", "pos", F.concat(before, "letter", after).alias("bc"))
         return neighbours.join(F.broadcast(whitelist), "bc").select(*columns)
-    pairs = hamming_pairs(observed, whitelist, 1, length).withColumn("pos", F.get("positions", F.lit(0)))
+    # Barcodes have few lengths: the usual one, and shorter ones of reads that end early.
+    lengths = {length, *(r[0] for r in observed.select(F.length("bc")).distinct().collect() if r[0])}
+    pairs = reduce(DataFrame.unionByName, [hamming_pairs(observed, whitelist, 1, n) for n in sorted(lengths)])
+    pairs = pairs.withColumn("pos", F.get("positions", F.lit(0)))
     letter = F.substring("bc", F.col("pos") + 1, F.lit(1))
     pairs = pairs.filter(letter.isin(*CHARSET)).select("obs", "bc", "wl_idx", "pos")
     return pairs.join(whitelist.drop("wl_idx"), "bc").select(*columns) if extra else pairs

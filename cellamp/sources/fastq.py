@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import gzip
 import itertools
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -27,7 +28,7 @@ _BATCH = 20_000
 
 
 def _open(path: str):
-    path = path.removeprefix("file://")
+    path = re.sub("^file:(//)?(?=/)", "", path)
     return gzip.open(path, "rt") if path.lower().endswith(".gz") else open(path)
 
 

@@ -88,7 +88,10 @@ def write_chunks(reads: DataFrame, path: str) -> None:
 
 def write_fastq_chunks(reads: DataFrame, path: str, mate: int) -> None:
     """One mate of the reads as FASTQ text, one folder per chunk, in read order."""
-    record = F.concat_ws("\n", f"header_r{mate}", f"seq_r{mate}", F.lit("+"), f"qual_r{mate}")
+    # A record always has four lines: a missing header or quality is an empty one.
+    seq = F.coalesce(f"seq_r{mate}", F.raise_error(F.lit(f"a read without seq_r{mate} cannot be written")).cast("string"))
+    header, qual = (F.coalesce(f"{c}_r{mate}", F.lit("")) for c in ("header", "qual"))
+    record = F.concat_ws("\n", header, seq, F.lit("+"), qual)
     (
         reads.repartition("chunk_id", F.floor(F.col("read_id") / 1_000_000))
         .sortWithinPartitions("chunk_id", "read_id")

@@ -60,6 +60,8 @@ def indexed_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     before = W.partitionBy("file_no").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     offsets = blocks.select("file_no", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
     offsets = F.broadcast(offsets) if fits_broadcast(offsets) else offsets
-    return lines.join(offsets, ["file_no", "block"]).select(
-        "file_no", "value", (F.col("within") + F.col("shift")).alias("line_no")
+    # The scan of the offsets must have cut the files in the same places; a line it does not know is an error.
+    lost = F.raise_error(F.lit("the blocks of the files differ between two scans")).cast("bigint")
+    return lines.join(offsets, ["file_no", "block"], "left").select(
+        "file_no", "value", F.coalesce(F.col("within") + F.col("shift"), lost).alias("line_no")
     )

@@ -24,6 +24,8 @@ def combine_stream(
     tables = (
         spark.readStream.schema(schema).option("sep", "\t").option("quote", "").option("header", True)
         .option("recursiveFileLookup", True).option("pathGlobFilter", pattern).csv(folder)
+        # Combined tables hold the same counts once more.
+        .filter(~F.col("_metadata.file_name").contains(".concat"))
         .select(*[clean_field(F.col(f"`{c}`")).alias(n) for c, n in CHUNK_COLUMNS.items()])
     )
 
