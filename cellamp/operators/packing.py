@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellamp.operators.skew import mark
+from cellamp.session import store
 
-# A packed row holds about this many UMIs at most; larger cells come in several rows.
+# A packed row holds at most this many UMIs; larger cells come in several rows.
 MAX_PACKED = 100_000
 
 
@@ -21,10 +23,9 @@ def pack_cells(
 ) -> DataFrame:
     """``items``: array of ``fields`` per cell, sorted by ``order`` (unique in a cell), next to cell totals.
 
-    A cell of more than ``max_packed`` rows is cut, in ``order``, at the bounds of a range partitioning, and
-    each piece becomes one row; ``part`` rises with the order and is 0 for all other cells. The totals of
-    such a cell stand on each of its rows. ``rows`` must be stored, it is read for the sizes first; None
-    leaves that out for cells already known to be small.
+    Row number r of a cell, counted from 0 in ``order``, stands in ``part`` r div ``max_packed``. The totals of
+    a cell stand on each of its rows. ``rows`` must be stored, it is read for the sizes first; None leaves
+    that out for cells already known to be small.
     """
     item = F.struct(*order, *[f for f in fields if f not in order])
     packed = F.array_sort(F.collect_list(item)).alias("items")
@@ -41,8 +42,15 @@ def pack_cells(
     small = marked.filter("_n IS NULL").groupBy(*keys).agg(packed, *totals).withColumn("part", F.lit(0))
     big = marked.filter("_n IS NOT NULL")
     pieces = -(-large_rows // max_packed) * 2
-    cut = big.repartitionByRange(pieces, *keys, *order).withColumn("part", F.spark_partition_id())
-    parts = cut.groupBy(*keys, "part").agg(packed)
+    # Pieces rise with the order, so the place of a row is its place in its piece after the cell's earlier pieces.
+    cut = store(big.repartitionByRange(pieces, *keys, *order).withColumn("_piece", F.spark_partition_id()))
+    earlier = W.partitionBy(*keys).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
+    offsets = cut.groupBy(*keys, "_piece").agg(F.count("*").alias("_rows"))
+    offsets = offsets.select(*keys, "_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(W.partitionBy(*keys, "_piece").orderBy(*order)) - 1
+    placed = cut.withColumn("_inside", inside).join(offsets, [*keys, "_piece"])
+    part = F.floor((F.col("_before") + F.col("_inside")) / max_packed).cast("int")
+    parts = placed.withColumn("part", part).groupBy(*keys, "part").agg(packed)
     whole = big.groupBy(*keys).agg(*totals) if totals else big.select(*keys).distinct()
     return small.unionByName(parts.join(whole, keys).select(small.columns))
 

@@ -203,6 +203,13 @@ def _summary(key: str, cut: int) -> str:
  FROM reps GROUP BY {key} HAVING sum(n_wt+n_mut+n_amb)>={cut})"""
 
 
+def _concat(max_packed: int) -> str:
+    lists = ", ".join(f"{_list(c, 'umi')} AS {c}" for c in ("umi", "n_wt", "n_mut", "n_amb", "call"))
+    return f"""SELECT bc, part, {lists}, any_value(first_part) AS first_part, any_value(first_read) AS first_read
+FROM (SELECT pairs.bc, umi, n_wt, n_mut, n_amb, call, firsts.first_part, firsts.first_read,
+ (row_number() OVER (PARTITION BY pairs.bc ORDER BY umi)-1)//{max_packed} AS part FROM pairs JOIN firsts USING (bc)) z GROUP BY bc, part"""
+
+
 def _with(*ctes: str, recursive: bool = False) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n"
 
@@ -258,10 +265,8 @@ un AS (SELECT reps.*, row_number() OVER (PARTITION BY chunk_id, bc ORDER BY firs
         "pair_counts": _with(*pairs) + "SELECT bc, umi, n_wt, n_mut, n_amb, call FROM pairs",
         "pair_order": _with(*pairs, _BC_FIRST)
         + "SELECT pairs.bc, umi, n_wt, n_mut, n_amb, call, firsts.first_part, firsts.first_read FROM pairs JOIN firsts USING (bc)",
-        "concat_cells": _with(*pairs, _BC_FIRST)
-        + "SELECT bc, "
-        + ", ".join(f"{_list(c, 'umi')} AS {c}" for c in ("umi", "n_wt", "n_mut", "n_amb", "call"))
-        + ", any_value(firsts.first_part) AS first_part, any_value(firsts.first_read) AS first_read FROM pairs JOIN firsts USING (bc) GROUP BY bc",
+        "concat_cells": _with(*pairs, _BC_FIRST) + _concat(100_000),
+        "concat_cells_parts": _with(*pairs, _BC_FIRST) + _concat(4),
         "chunk_assign": _with(_CHUNKED) + "SELECT read_id, chunk_id FROM reads",
         "umi_edges_levenshtein": _with(*pairs)
         + f"SELECT x.bc, x.umi AS src, y.umi AS dst FROM pairs x JOIN pairs y ON x.bc=y.bc AND x.umi<>y.umi WHERE levenshtein(x.umi,y.umi)<={lev}",

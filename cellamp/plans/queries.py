@@ -223,7 +223,14 @@ def pair_order(spark, sf_dir):
 def concat_cells(spark, sf_dir):
     run = _run(spark, sf_dir)
     pairs = store(combine.sum_pairs(run.merged))
-    return _plain(_first_seen(combine.concat_cells(pairs).drop("part"), "bc_first"))
+    return _plain(_first_seen(combine.concat_cells(pairs), "bc_first"))
+
+
+def concat_cells_parts(spark, sf_dir):
+    """Packed cells of at most four UMIs a row, as cells beyond MAX_PACKED come out."""
+    run = _run(spark, sf_dir)
+    pairs = store(combine.sum_pairs(run.merged))
+    return _plain(_first_seen(combine.concat_cells(pairs, max_packed=4), "bc_first"))
 
 
 def chunk_assign(spark, sf_dir):
@@ -262,7 +269,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         primed_linear, primed_circ, bad_reads, whitelist_order, whitelist_semi, whitelist_anti, hamming1_candidates,
         hamming_k_join, prior_counts, rescue_posterior, rescue_status, mtx_re, dup_counts, dedup_representative,
         merge_table, merge_table_circ, cell_summary, unpack_explode, chunk_local_pairs, pair_counts, pair_order,
-        concat_cells, chunk_assign, umi_edges_levenshtein, umi_edges_unanchored, umi_degree, collapsed_umis,
+        concat_cells, concat_cells_parts, chunk_assign, umi_edges_levenshtein, umi_edges_unanchored, umi_degree, collapsed_umis,
         collapsed_cells, mutation_fraction,
     )
 }

@@ -134,9 +134,15 @@ def _split_records(spark: SparkSession, paths: list[str], mate: int) -> DataFram
     lines = indexed_lines(spark, paths)
     place = F.col("line_no") % 4
     fields = ((0, f"header_r{mate}"), (1, f"seq_r{mate}"), (3, f"qual_r{mate}"))
-    return lines.groupBy("file_no", F.floor(F.col("line_no") / 4).alias("ordinal")).agg(
-        *[F.max(F.when(place == i, F.col("value"))).alias(name) for i, name in fields]
+    records = lines.groupBy("file_no", F.floor(F.col("line_no") / 4).alias("ordinal")).agg(
+        *[F.max(F.when(place == i, F.col("value"))).alias(name) for i, name in fields],
+        F.count("*").alias("_lines"),
+        F.max(F.length("value")).alias("_longest"),
     )
+    # Fewer than four lines are blank lines at the end of the file, or a record that is cut off.
+    message = F.concat(F.lit(f"file {mate} of pair "), F.col("file_no").cast("string"), F.lit(" ends inside a record"))
+    whole = F.when(F.col("_lines") == 4, True).when(F.col("_longest") == 0, False).otherwise(F.raise_error(message).cast("boolean"))
+    return records.filter(whole).drop("_lines", "_longest")
 
 
 def split_fastq_pairs(

@@ -73,6 +73,31 @@ def test_split_fastq_in_blocks(spark, rows, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("unequal", ["error", "truncate"])
+@pytest.mark.parametrize("split_bytes", [1, 1 << 30])
+def test_ends_of_files(spark, rows, tmp_path, split_bytes, unequal):
+    """Blank tails, cut records and missing mates are the same in blocks and in lockstep."""
+    r1, r2 = (_fastq(tmp_path / f"{m}.fastq", rows[:9], m) for m in (1, 2))
+    short = _fastq(tmp_path / "short.fastq", rows[:7], 2)
+
+    def read(first, second):
+        return _plain(fastq.read_fastq_pairs(spark, [first], [second], unequal, split_bytes))
+
+    nine = read(r1, r2)
+    with open(r2, "a") as file:
+        file.write("\n\n")
+    assert len(nine) == 9 and read(r1, r2) == nine
+    if unequal == "truncate":
+        assert len(read(r1, short)) == 7
+    else:
+        with pytest.raises(Exception, match="differ in their number of reads"):
+            read(r1, short)
+    with open(short, "a") as file:
+        file.write("@cut\nACGT\n")
+    with pytest.raises(Exception, match="ends inside a record"):
+        read(short, short)
+
+
 def test_large_gzip_files_are_spread(spark, rows, tmp_path):
     r1, r2 = _fastq(tmp_path / "1.fastq.gz", rows, 1, True), _fastq(tmp_path / "2.fastq.gz", rows, 2, True)
     spread = fastq.read_fastq_pairs(spark, [r1], [r2], split_bytes=10)
