@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 # Whitelists of common kits have 0.7 to 3.7 million barcodes; longer ones take the shuffled way.
 BROADCAST_ROWS = 4_000_000
+BROADCAST_BYTES = 256 << 20
 # A key with more than 1/HOT_SHARE of all rows is hot, so there are fewer than HOT_SHARE such keys.
 HOT_SHARE = 1000
 SALTS = 256
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Measure, without reading more than the bound, whether a table of narrow rows may be broadcast."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measure rows and bytes of a table in one aggregation: may it be broadcast? Should be a stored table."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
+    width = F.lit(8 * len(df.columns))
+    for name in texts:
+        width = width + F.coalesce(F.octet_length(f"`{name}`"), F.lit(0))
+    size = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return size.rows <= max_rows and size.bytes <= max_bytes
 
 
 def hot_keys(sizes: DataFrame, keys: list[str], size: str) -> DataFrame:

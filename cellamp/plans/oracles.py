@@ -214,6 +214,13 @@ def _with(*ctes: str, recursive: bool = False) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n"
 
 
+def _looked_file(config: RegionConfig) -> str:
+    return (
+        _with(READS, _scan(config))
+        + f"SELECT row_number() OVER (ORDER BY read_id)-1 AS line, bc, bc_qual, umi, {_names(config, 'mm')}, {_looked_avg(config)} FROM scan WHERE r2_len>0 AND err_r2>0 AND err_shared>0"
+    )
+
+
 def oracles() -> dict[str, str]:
     linear, circ = _primed(LINEAR), _primed(CIRC)
     full = (READS, WL, linear, _rescue())
@@ -224,6 +231,12 @@ un AS (SELECT reps.*, row_number() OVER (PARTITION BY chunk_id, bc ORDER BY firs
     lev = "floor(length(x.umi)*CAST(0.2 AS DOUBLE))"
     merge_columns = f"bc, whitelist, umi, n_wt, n_mut, n_amb, call, {_MERGE_AVG}"
     first = "CAST(first_part AS BIGINT) AS first_part, first_read"
+    chunk_pairs = (
+        _with(*chunked, unpacked)
+        + f"SELECT bc, umi, n_wt, n_mut, n_amb, {_pair_call()} AS call FROM (SELECT bc, umi, CAST(sum(n_wt) AS BIGINT) AS n_wt, CAST(sum(n_mut) AS BIGINT) AS n_mut, CAST(sum(n_amb) AS BIGINT) AS n_amb FROM un GROUP BY bc, umi) z"
+    )
+    fastq = _with(_CHUNKED) + """SELECT chunk_id, row_number() OVER (PARTITION BY chunk_id, read_id//1000000 ORDER BY read_id)-1 AS place,
+ '@r'||read_id||'/1' AS header_r1, seq_r1, qual_r1, '@r'||read_id||'/2' AS header_r2, seq_r2, qual_r2 FROM reads"""
     return {
         "read_fields": _with(READS)
         + "SELECT read_id, substr(seq_r1,1,16) AS bc, substr(qual_r1,1,16) AS bc_qual, substr(seq_r1,17,12) AS umi FROM reads",
@@ -260,8 +273,19 @@ un AS (SELECT reps.*, row_number() OVER (PARTITION BY chunk_id, bc ORDER BY firs
         + f"SELECT {merge_columns}, {_names(CIRC, 'mm')}, {first} FROM reps",
         "cell_summary": _with(*full, _groups(), _summary("bc", 60)) + "SELECT * FROM summary",
         "unpack_explode": _with(*chunked, unpacked) + "SELECT bc, umi, n_wt, n_mut, n_amb, chunk_id, pos FROM un",
-        "chunk_local_pairs": _with(*chunked, unpacked)
-        + f"SELECT bc, umi, n_wt, n_mut, n_amb, {_pair_call()} AS call FROM (SELECT bc, umi, CAST(sum(n_wt) AS BIGINT) AS n_wt, CAST(sum(n_mut) AS BIGINT) AS n_mut, CAST(sum(n_amb) AS BIGINT) AS n_amb FROM un GROUP BY bc, umi) z",
+        "chunk_local_pairs": chunk_pairs,
+        "chunk_table_files": chunk_pairs,
+        "chunk_table_stream": chunk_pairs,
+        "fastq_lockstep": fastq,
+        "fastq_blocks": fastq,
+        "looked_file_linear": _looked_file(LINEAR),
+        "looked_file_circ": _looked_file(CIRC),
+        "whitelist_file": _with(WL) + "SELECT bc, wl_idx FROM wl",
+        "changed_file": _with(*full)
+        + f"SELECT bc, {_BC_Q} AS bc_q, umi, mm_primer, mm_mut, 'N' AS whitelist, CASE WHEN status='RESCUED' THEN best ELSE status END AS outcome FROM changed",
+        "merge_file": _with(*full, _groups()) + f"SELECT {merge_columns}, {_names(LINEAR, 'mm')} FROM reps",
+        "cells_file": _with(*pairs, _BC_FIRST)
+        + f"SELECT bc, umi, n_wt, n_mut, n_amb FROM ({_concat(100_000)}) z",
         "pair_counts": _with(*pairs) + "SELECT bc, umi, n_wt, n_mut, n_amb, call FROM pairs",
         "pair_order": _with(*pairs, _BC_FIRST)
         + "SELECT pairs.bc, umi, n_wt, n_mut, n_amb, call, firsts.first_part, firsts.first_read FROM pairs JOIN firsts USING (bc)",

@@ -180,11 +180,16 @@ def cell_summary(spark, sf_dir):
     return _plain(_first_seen(summary.drop("part")))
 
 
-def _packed_by_chunk(spark, sf_dir) -> tuple[DataFrame, Params]:
+def _summary_by_chunk(spark, sf_dir) -> tuple[DataFrame, Params]:
     params = replace(PARAMS, dupcut=2, chunk_cols=("chunk_id",))
     reads = chunks.assign_chunks(fixture.reads(spark, sf_dir), CHUNK_TARGET)
     run = GenotypeRun(reads, fixture.whitelist(spark, sf_dir), fixture.LINEAR, params)
-    packed = run.cell_summary.select(
+    return run.cell_summary, params
+
+
+def _packed_by_chunk(spark, sf_dir) -> tuple[DataFrame, Params]:
+    summary, params = _summary_by_chunk(spark, sf_dir)
+    packed = summary.select(
         "chunk_id", "first_seen", F.col("bc_list").alias("bc"), *[F.col(f"{c}_list").alias(c) for c in combine.PACKED]
     )
     return packed, params

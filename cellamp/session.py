@@ -41,6 +41,11 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def new_path(spark: SparkSession, name: str = "") -> str:
+    """An unused path in the shared folder, below the folder of this application."""
+    return f"{shared_dir(spark).rstrip('/')}/cellamp/{spark.sparkContext.applicationId}/{name}{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a scan of it.
 
@@ -49,8 +54,7 @@ def store(df: DataFrame) -> DataFrame:
     one folder and can be removed when it has ended.
     """
     spark = df.sparkSession
-    job = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark).rstrip('/')}/cellamp/{job}/{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

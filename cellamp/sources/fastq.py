@@ -130,6 +130,27 @@ def read_fastq_pairs(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _chunk_files(spark: SparkSession, folder: str) -> dict[tuple[int, int], str]:
+    """Chunk and block to the file that holds them."""
+    files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/chunk_id=*/block=*/*.txt").select("path")
+    found = [(re.search(r"chunk_id=(-?\d+)/block=(-?\d+)/", row.path), row.path) for row in files.collect()]
+    return {(int(m[1]), int(m[2])): path for m, path in found}
+
+
+def read_fastq_chunks(spark: SparkSession, r1: str, r2: str, unequal: str = "error", split_bytes: int = 256 << 20) -> DataFrame:
+    """Read back what ``write_fastq_chunks`` has written for both mates, with ``chunk_id``.
+
+    ``file_id`` numbers the files by chunk and block.
+    """
+    first, second = _chunk_files(spark, r1), _chunk_files(spark, r2)
+    if first.keys() != second.keys():
+        raise ValueError(f"{r1} and {r2} hold different chunks")
+    places = sorted(first)
+    reads = read_fastq_pairs(spark, [first[p] for p in places], [second[p] for p in places], unequal, split_bytes)
+    chunk = F.expr(f"array({', '.join(str(c) for c, _ in places)})")
+    return reads.withColumn("chunk_id", F.get(chunk, F.col("file_id")))
+
+
 def _split_records(spark: SparkSession, paths: list[str], mate: int) -> DataFrame:
     lines = indexed_lines(spark, paths)
     place = F.col("line_no") % 4

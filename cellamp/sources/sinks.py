@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from cellamp.config import RegionConfig
 from cellamp.operators.regions import looked_table
 
-# Column names of the text tables.
+# Column names of the text tables.
 MERGE_HEADER = {
     "bc": "BC", "whitelist": "whitelist", "umi": "UMI", "n_wt": "num.WT.in.dups", "n_mut": "num.MUT.in.dups",
     "n_amb": "num.amb.in.dups", "call": "call.in.dups", "avg_err_r2": "avg.base_error.R2",
@@ -21,9 +24,14 @@ MERGE_HEADER = {
 CALL_HEADER = {"wt_calls": "WT.calls", "mut_calls": "MUT.calls", "amb_calls": "amb.calls"}
 
 
-def _named(df: DataFrame, renames: dict[str, str], suffix: str = "") -> DataFrame:
+def _named(df: DataFrame, renames: dict[str, str], suffix: str = "", keep: Sequence[str] = ()) -> DataFrame:
     names = {f"{k}{suffix}": v for k, v in renames.items()} | CALL_HEADER
-    return df.select(*[F.col(c).alias(n) for c, n in names.items() if c in df.columns])
+    return df.select(*keep, *[F.col(c).alias(n) for c, n in names.items() if c in df.columns])
+
+
+def _tsv(writer: DataFrameWriter, header: bool = True) -> DataFrameWriter:
+    options = {"sep": "\t", "quote": "", "emptyValue": "", "nullValue": ""}
+    return writer.options(**options).option("header", header)
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = True, one_file: bool = False) -> None:
@@ -32,10 +40,7 @@ def write_tsv(df: DataFrame, path: str, header: bool = True, one_file: bool = Fa
     ``one_file`` gathers the output in one task and is meant for small exports.
     """
     out = df.coalesce(1) if one_file else df
-    (
-        out.write.option("sep", "\t").option("header", header).option("quote", "").option("emptyValue", "")
-        .option("nullValue", "").csv(path)
-    )
+    _tsv(out.write, header).csv(path)
 
 
 def write_looked(looked: DataFrame, path: str) -> None:
@@ -52,6 +57,29 @@ def write_cell_summary(summary: DataFrame, path: str, one_file: bool = False) ->
     write_tsv(_named(summary.orderBy("first_seen", "part"), MERGE_HEADER, "_list"), path, one_file=one_file)
 
 
+def write_chunk_tables(summary: DataFrame, outdir: str, sample: str) -> None:
+    """Packed cells with ``chunk_id``: one ``<sample>.summTable.txt`` per chunk, below its four-digit folder.
+
+    The chunks are written side by side; then every file is renamed, which moves no data. Folders have four digits, so there may be
+    10,000 chunks.
+    """
+    spark = summary.sparkSession
+    part, outdir = f"{outdir.rstrip('/')}/_parts", outdir.rstrip("/")
+    ordered = summary.repartition("chunk_id").sortWithinPartitions("chunk_id", "first_seen", "part")
+    _tsv(_named(ordered, MERGE_HEADER, "_list", ["chunk_id"]).write.partitionBy("chunk_id")).csv(part)
+    files = spark.read.format("binaryFile").load(f"{part}/chunk_id=*/*.csv").select("path").collect()  # one per chunk
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    if len(files) > 10_000:
+        raise ValueError("more than 10,000 chunks have no four-digit folder each")
+    for path in (row.path for row in files):
+        folder = f"{outdir}/{int(re.search(r'chunk_id=([0-9]+)/', path)[1]):04d}"
+        target = hadoop.Path(f"{folder}/{sample}.summTable.txt")
+        system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(hadoop.Path(folder))
+        if not system.rename(hadoop.Path(path), target):
+            raise OSError(f"{target} exists or cannot be written")
+
+
 def write_changed(changed: DataFrame, config: RegionConfig, path: str, one_file: bool = False) -> None:
     """Reads outside the whitelist: the `looked` columns, and the new barcode or the reason why there is none."""
     rows = changed.withColumn("outcome", F.coalesce("replaced_bc", "status"))
@@ -87,15 +115,19 @@ def write_chunks(reads: DataFrame, path: str) -> None:
 
 
 def write_fastq_chunks(reads: DataFrame, path: str, mate: int) -> None:
-    """One mate of the reads as FASTQ text, one folder per chunk, in read order."""
+    """One mate of the reads as FASTQ text, in read order: a folder per chunk, and in it a folder and file per million read ids.
+
+    The files depend on chunk and read id alone, so those of two mates hold the same reads in the same order.
+    """
     # A record always has four lines: a missing header or quality is an empty one.
     seq = F.coalesce(f"seq_r{mate}", F.raise_error(F.lit(f"a read without seq_r{mate} cannot be written")).cast("string"))
     header, qual = (F.coalesce(f"{c}_r{mate}", F.lit("")) for c in ("header", "qual"))
     record = F.concat_ws("\n", header, seq, F.lit("+"), qual)
     (
-        reads.repartition("chunk_id", F.floor(F.col("read_id") / 1_000_000))
-        .sortWithinPartitions("chunk_id", "read_id")
-        .select(record.alias("value"), "chunk_id")
-        .write.partitionBy("chunk_id")
+        reads.withColumn("block", F.floor(F.col("read_id") / 1_000_000))
+        .repartition("chunk_id", "block")
+        .sortWithinPartitions("chunk_id", "block", "read_id")
+        .select(record.alias("value"), "chunk_id", "block")
+        .write.partitionBy("chunk_id", "block")
         .text(path)
     )

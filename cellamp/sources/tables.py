@@ -12,11 +12,7 @@ from cellamp.functions.phred import symbols_from_packed
 from cellamp.operators.whitelist import ordered_whitelist
 from cellamp.sources.text import ORDINAL_BITS, indexed_lines
 
-LOOKED_LINEAR = (
-    "bc", "bc_q", "umi", "mm_primer", "mm_shared", "mm_wt", "mm_mut",
-    "avg_err_r2", "avg_err_primer", "avg_err_shared", "avg_err_wt", "avg_err_mut",
-)
-# Header names of a chunk table and the names used here.
+# Header names of a chunk table, and the names used here.
 CHUNK_COLUMNS = {
     "BC": "bc", "UMI": "umi", "num.WT.in.dups": "n_wt", "num.MUT.in.dups": "n_mut", "num.amb.in.dups": "n_amb",
 }
@@ -43,20 +39,26 @@ def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
     return ordered_whitelist(lines, F.floor(F.col("position") / 65536))
 
 
-def read_looked(spark: SparkSession, path: str) -> DataFrame:
-    """Scored reads of a linear layout from tab-separated text, as input for the barcode rescue.
+def looked_columns(mode: str = "linear") -> list[str]:
+    """Columns of scored reads: 12 for a linear layout, 20 for a circular one."""
+    names = CIRC_REGIONS if mode == "circ" else LINEAR_REGIONS
+    return ["bc", "bc_q", "umi", *[f"mm_{n}" for n in names], "avg_err_r2", *[f"avg_err_{n}" for n in names]]
+
+
+def read_looked(spark: SparkSession, path: str, mode: str = "linear") -> DataFrame:
+    """Scored reads from tab-separated text, as input for the barcode rescue.
 
-    Blank lines, a header, and lines with fewer than 12 fields are skipped, as are reads whose primer or
+    Blank lines, a header, and lines with too few fields for the layout are skipped, as are reads whose primer or
     shared mismatch count is no integer. The averages stand in for the error sums: they order reads alike.
     """
-    fields = F.split("value", "\t")
+    columns, fields = looked_columns(mode), F.split("value", "\t")
     rows = indexed_lines(spark, path).select(_place().alias("read_id"), fields.alias("f"))
-    rows = rows.filter((F.size("f") >= len(LOOKED_LINEAR)) & (F.col("f")[0] != "BC"))
-    named = rows.select("read_id", *[F.col("f")[i].alias(n) for i, n in enumerate(LOOKED_LINEAR)])
+    rows = rows.filter((F.size("f") >= len(columns)) & (F.col("f")[0] != "BC"))
+    named = rows.select("read_id", *[F.col("f")[i].alias(n) for i, n in enumerate(columns)])
     typed = named.select(
         "read_id", "bc", symbols_from_packed(F.col("bc_q")).alias("bc_qual"), "umi",
-        *[F.trim(n).try_cast("int").alias(n) for n in LOOKED_LINEAR if n.startswith("mm_")],
-        *[F.trim(n).try_cast("double").alias(n) for n in LOOKED_LINEAR if n.startswith("avg_")],
+        *[F.trim(n).try_cast("int").alias(n) for n in columns if n.startswith("mm_")],
+        *[F.trim(n).try_cast("double").alias(n) for n in columns if n.startswith("avg_")],
     )
     return typed.filter("mm_primer IS NOT NULL AND mm_shared IS NOT NULL")
 
@@ -92,7 +94,7 @@ def chunk_table_paths(spark: SparkSession, outdir: str, sample: str) -> list[str
     return sorted(r.path for r in chosen.select("path").collect())
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
+def table_header(spark: SparkSession, path: str) -> list[str]:
     first = spark.read.text(path).first()
     return first[0].split("\t") if first else []
 
@@ -102,7 +104,7 @@ def read_chunk_tables(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     The schema is never inferred: a packed count column looks like an integer until its first long cell.
     """
-    header = _header(spark, paths[0])
+    header = table_header(spark, paths[0])
     missing = [c for c in CHUNK_COLUMNS if c not in header]
     if missing:
         raise ValueError(f"{paths[0]} lacks columns {missing}")

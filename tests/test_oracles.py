@@ -7,7 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from cellamp.plans.queries import QUERIES
+from cellamp.plans import file_queries, queries
+
+QUERIES = queries.QUERIES | file_queries.QUERIES
 
 TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double"}
 
