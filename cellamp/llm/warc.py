@@ -254,8 +254,11 @@ def _mended(pieces: DataFrame, links: DataFrame, torn: DataFrame) -> DataFrame:
         marks.withColumn("holder", holder).filter("at < holder.end").select(*key, "at", F.col("holder.head").alias("head"))
     )
     texts = pieces.join(held, key).groupBy("file", "head").agg(F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("all"))
-    # What is collected is the text of one record.
-    joined = texts.select("file", F.array_join(F.transform("all", lambda p: p["piece"]), VERSION).alias("piece"))
+    # What is collected is the text of one record. This scan must have cut the files where the first one did.
+    lost = F.raise_error(F.lit("the pieces of the archives differ between two scans")).cast("string")
+    wanted = held.groupBy("file", "head").agg(F.count("*").alias("n")).join(texts, ["file", "head"], "left")
+    whole = F.when(F.size("all") == F.col("n"), F.array_join(F.transform("all", lambda p: p["piece"]), VERSION)).otherwise(lost)
+    joined = wanted.select("file", whole.alias("piece"))
     header = F.substring_index("piece", END, 1)
     again = joined.withColumn("header", header).withColumn("head_bytes", (F.octet_length("header") + len(END)).cast("bigint"))
     length = F.regexp_extract(F.concat(F.lit(BREAK), "header"), r"(?i)\r\nContent-Length: *([0-9]{1,15})", 1)
