@@ -178,11 +178,13 @@ def _list(column: str, order: str, where: str = "") -> str:
 
 
 _KEPT = " FILTER (n_wt+n_mut>=2)"
-_CELLS = "cells AS (SELECT bc, " + ", ".join(
+_CELLS = "cells AS (SELECT bc, part, " + ", ".join(
     f"{_list(c, '-(n_wt+n_mut+n_amb), pos', _KEPT)} AS {c}" for c in ("umi", "n_wt", "n_mut", "n_amb", "call")
 ) + ", " + ", ".join(
-    f"count(*) FILTER (n_wt+n_mut>=2 AND call='{c}') AS {c.lower()}_calls" for c in ("WT", "MUT", "AMB")
-) + " FROM survivors GROUP BY bc)"
+    f"any_value({c}_calls) AS {c}_calls" for c in ("wt", "mut", "amb")
+) + " FROM (SELECT *, (row_number() OVER (PARTITION BY bc ORDER BY -(n_wt+n_mut+n_amb), pos)-1)//100000 AS part, " + ", ".join(
+    f"count(*) FILTER (n_wt+n_mut>=2 AND call='{c}') OVER (PARTITION BY bc) AS {c.lower()}_calls" for c in ("WT", "MUT", "AMB")
+) + " FROM survivors) z GROUP BY bc, part)"
 
 _SUMMARY_FIELDS = [
     "whitelist", "umi", "n_wt", "n_mut", "n_amb", "call", "avg_err_r2", "avg_err_primer", "avg_err_shared",
@@ -194,13 +196,17 @@ _RAW_AVG = {
 }
 
 
-def _summary(key: str, cut: int) -> str:
+def _summary(key: str, cut: int, max_packed: int = 100_000) -> str:
+    own = f"OVER (PARTITION BY {key})"
     lists = ", ".join(
         f"{_list(_RAW_AVG.get(f, f), 'first_part, first_read')} AS {f}_list" for f in ["bc", *_SUMMARY_FIELDS]
     )
-    return f"""summary AS (SELECT {key}, {lists}, count(*) FILTER (mm_wt<=2 AND mm_mut>2) AS wt_calls, count(*) FILTER (mm_mut<=2) AS mut_calls,
- count(*) FILTER (mm_wt>2 AND mm_mut>2) AS amb_calls, CAST(min(first_part) AS BIGINT) AS first_part, coalesce(min(CASE WHEN first_part=0 THEN first_read END), min(first_read)) AS first_read,
- FROM reps GROUP BY {key} HAVING sum(n_wt+n_mut+n_amb)>={cut})"""
+    return f"""summary AS (SELECT {key}, piece AS part, {lists}, any_value(wt_calls) AS wt_calls, any_value(mut_calls) AS mut_calls, any_value(amb_calls) AS amb_calls,
+ any_value(cell_part) AS first_part, any_value(cell_read) AS first_read
+ FROM (SELECT *, (row_number() OVER (PARTITION BY {key} ORDER BY first_part, first_read)-1)//{max_packed} AS piece, sum(n_wt+n_mut+n_amb) {own} AS cell_reads,
+  count(*) FILTER (mm_wt<=2 AND mm_mut>2) {own} AS wt_calls, count(*) FILTER (mm_mut<=2) {own} AS mut_calls, count(*) FILTER (mm_wt>2 AND mm_mut>2) {own} AS amb_calls,
+  CAST(min(first_part) {own} AS BIGINT) AS cell_part, coalesce(min(CASE WHEN first_part=0 THEN first_read END) {own}, min(first_read) {own}) AS cell_read FROM reps) z
+ WHERE cell_reads>={cut} GROUP BY {key}, piece)"""
 
 
 def _concat(max_packed: int) -> str:
@@ -272,6 +278,7 @@ un AS (SELECT reps.*, row_number() OVER (PARTITION BY chunk_id, bc ORDER BY firs
         "merge_table_circ": _with(READS, WL, circ, _rescue(), _groups())
         + f"SELECT {merge_columns}, {_names(CIRC, 'mm')}, {first} FROM reps",
         "cell_summary": _with(*full, _groups(), _summary("bc", 60)) + "SELECT * FROM summary",
+        "cell_summary_parts": _with(*full, _groups(), _summary("bc", 1, 4)) + "SELECT * FROM summary",
         "unpack_explode": _with(*chunked, unpacked) + "SELECT bc, umi, n_wt, n_mut, n_amb, chunk_id, pos FROM un",
         "chunk_local_pairs": chunk_pairs,
         "chunk_table_files": chunk_pairs,
@@ -301,5 +308,5 @@ un AS (SELECT reps.*, row_number() OVER (PARTITION BY chunk_id, bc ORDER BY firs
         + "SELECT bc, umi, n_wt, n_mut, n_amb, call FROM survivors",
         "collapsed_cells": _with(*pairs, _EDGE_DP, _COLLAPSE, _CELLS, recursive=True) + "SELECT * FROM cells",
         "mutation_fraction": _with(*pairs, _EDGE_DP, _COLLAPSE, _CELLS, recursive=True)
-        + "SELECT CASE WHEN wt_calls>0 AND mut_calls>0 THEN 'mixed' WHEN wt_calls>0 THEN 'WT' WHEN mut_calls>0 THEN 'MUT' ELSE 'none' END AS genotype, count(*) AS n_cells FROM cells GROUP BY 1",
+        + "SELECT CASE WHEN wt_calls>0 AND mut_calls>0 THEN 'mixed' WHEN wt_calls>0 THEN 'WT' WHEN mut_calls>0 THEN 'MUT' ELSE 'none' END AS genotype, count(*) AS n_cells FROM (SELECT DISTINCT bc, wt_calls, mut_calls FROM cells) z GROUP BY 1",
     }

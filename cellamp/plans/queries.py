@@ -177,7 +177,13 @@ def merge_table_circ(spark, sf_dir):
 
 def cell_summary(spark, sf_dir):
     summary = _run(spark, sf_dir, params=replace(PARAMS, dupcut=60)).cell_summary
-    return _plain(_first_seen(summary.drop("part")))
+    return _plain(_first_seen(summary))
+
+
+def cell_summary_parts(spark, sf_dir):
+    """All cells, at most four UMIs a row, as cells beyond MAX_PACKED come out."""
+    run = _run(spark, sf_dir)
+    return _plain(_first_seen(cells.cell_summary(run.merged, run.config, max_packed=4)))
 
 
 def _summary_by_chunk(spark, sf_dir) -> tuple[DataFrame, Params]:
@@ -260,7 +266,7 @@ def collapsed_umis(spark, sf_dir):
 
 
 def collapsed_cells(spark, sf_dir):
-    return _plain(_run(spark, sf_dir).collapsed.drop("part"))
+    return _plain(_run(spark, sf_dir).collapsed)
 
 
 def mutation_fraction(spark, sf_dir):
@@ -273,7 +279,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         read_fields, phred_decode, primer_shift, region_mismatch, region_errors, looked_linear, looked_circ,
         primed_linear, primed_circ, bad_reads, whitelist_order, whitelist_semi, whitelist_anti, hamming1_candidates,
         hamming_k_join, prior_counts, rescue_posterior, rescue_status, mtx_re, dup_counts, dedup_representative,
-        merge_table, merge_table_circ, cell_summary, unpack_explode, chunk_local_pairs, pair_counts, pair_order,
+        merge_table, merge_table_circ, cell_summary, cell_summary_parts, unpack_explode, chunk_local_pairs, pair_counts, pair_order,
         concat_cells, concat_cells_parts, chunk_assign, umi_edges_levenshtein, umi_edges_unanchored, umi_degree, collapsed_umis,
         collapsed_cells, mutation_fraction,
     )
