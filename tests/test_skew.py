@@ -53,3 +53,10 @@ def test_bucketed_rank(spark):
     ranked = ranking.bucketed_rank(df, F.substring("w", 1, 2), [F.col("w")], "rank").collect()
     assert [r.w for r in sorted(ranked, key=lambda r: r["rank"])] == sorted(words)
     assert sorted(r["rank"] for r in ranked) == list(range(len(words)))
+
+
+def test_broadcast_is_bound_by_rows_and_bytes(spark):
+    """Rows without text count eight bytes a column; missing texts count none."""
+    rows = spark.createDataFrame([("ab", 1), (None, 2)], "bc string, n bigint")
+    assert skew.fits_broadcast(rows, 2, 34) and not skew.fits_broadcast(rows, 2, 33) and not skew.fits_broadcast(rows, 1)
+    assert skew.fits_broadcast(rows.filter("false"), 0, 0)

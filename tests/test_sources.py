@@ -236,6 +236,9 @@ def test_chunk_sinks(spark, sf_dir, tmp_path):
     assert sizes == {0: 51, 1: 49}
     sinks.write_fastq_chunks(assigned, str(tmp_path / "fastq"), 1)
     assert spark.read.text(str(tmp_path / "fastq")).count() == 400
+    sinks.write_fastq_chunks(assigned.filter("chunk_id = 0"), str(tmp_path / "half"), 1)
+    with pytest.raises(ValueError, match="different chunks"):
+        fastq.read_fastq_chunks(spark, str(tmp_path / "fastq"), str(tmp_path / "half"))
     assert chunks.assign_chunks(reads, 40).filter("chunk_id < 1").count() == 51
 
 
