@@ -134,10 +134,10 @@ class Tree:
         inside = distance(points, split[0]) <= split[1]
         return (*split, self._grow(points[inside], enough, share), self._grow(points[~inside], enough, share))
 
-    def route(self, prints: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(shard, cell, positions, at home) for every place where some of the fingerprints belong."""
+    def route(self, prints: np.ndarray, at_home: bool = True) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(shard, cell, positions, at home) for every place where some of the fingerprints belong, or are only sought."""
         masked = prints & self.mask
-        stack = [(self.root, np.arange(len(prints)), np.ones(len(prints), bool))]
+        stack = [(self.root, np.arange(len(prints)), np.full(len(prints), at_home))]
         while stack:
             node, at, home = stack.pop()
             if not len(at):

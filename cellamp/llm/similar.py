@@ -1,0 +1,226 @@
+"""Groups of similar texts: shingle sets with a Jaccard similarity of at least ``SIMILARITY``.
+
+Candidates come from SimHash fingerprints of the set of word shingles and the vantage-point search of ``simhash``, links from comparing the
+sets themselves. Two sets with similarity s have a cosine of at least 2s / (1 + s), so a bit differs with a chance of
+arccos(2s / (1 + s)) / pi at most: 0.1515 at 0.8, 9.7 of 64 bits with a standard deviation of 2.9. ``radius`` allows three
+deviations more, on each of two fingerprints with different hashes; the second keeps unrelated texts out. This chance is what
+may be missed; a link is never a guess.
+
+At such a radius a vantage point seldom separates anything, so fingerprints are dealt out by the size of the set first: sizes of
+similar sets differ by a factor of 1 / s at most, so a set meets its own level of sizes and the one below.
+
+A shard reports at most ``most`` candidates per set. Where it left some out, the search is repeated with a higher number, without
+the pairs that links already join; a dense group is joined in the first round, and nothing is left out in the last.
+
+Words are those of ``simhash``. Equal sets, also empty ones, are one point. A missing doc_id counts in no group's smallest id.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from cellamp.llm.components import components
+from cellamp.llm.simhash import LEAF, MAX_SAMPLE, SEED, Tree, best_split, distance
+from cellamp.llm.tables import whole_text
+from cellamp.session import store
+
+SIMILARITY = 0.8
+SHINGLE = 5
+# Candidates a shard reports per set in the first round.
+MOST = 16
+SAMPLE = 1_024
+SHARD = 4_096
+# Fingerprints compared at a time.
+_BLOCK = 4_194_304
+_BITS = 65_536
+_ALL = np.uint64(2**64 - 1)
+
+
+def radius(similarity: float = SIMILARITY, deviations: float = 3) -> int:
+    """Bits of 64 in which two sets of that similarity may differ."""
+    chance = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.floor(64 * chance + deviations * math.sqrt(64 * chance * (1 - chance)))
+
+
+def shingle_set(raw: bytes, words: int) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles; a text with fewer words is one shingle."""
+    from xxhash import xxh64_intdigest
+
+    listed = raw.lower().split()  # both touch ASCII only
+    if not listed:
+        return np.empty(0, np.uint64)
+    n = max(1, len(listed) - words + 1)
+    return np.unique(np.fromiter((xxh64_intdigest(b" ".join(listed[k : k + words]), SEED) for k in range(n)), np.uint64, n))
+
+
+def simhash_of(hashes: np.ndarray) -> int:
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), _BITS):
+        bits = np.unpackbits(hashes[at : at + _BITS].view(np.uint8), bitorder="little").reshape(-1, 64)
+        counts += bits.sum(axis=0, dtype=np.uint32)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    """Other hashes of the same shingles (the finalizer of splitmix64)."""
+    h = hashes + np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def summary(text: Column, words: int = SHINGLE) -> Column:
+    """Struct of a text's shingle set: its digest, two fingerprints and its size."""
+
+    @F.pandas_udf("digest string, print bigint, other bigint, size bigint")
+    def summaries(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        from xxhash import xxh3_128_hexdigest
+
+        for batch in batches:
+            rows = []
+            for raw in batch:
+                held = shingle_set(raw, words)
+                rows.append((xxh3_128_hexdigest(held.tobytes()), simhash_of(held), simhash_of(mixed(held)), len(held)))
+            yield pd.DataFrame(rows, columns=["digest", "print", "other", "size"])
+
+    return summaries(whole_text(text).cast("binary"))
+
+
+def with_set(docs: DataFrame, text: str, words: int) -> DataFrame:
+    """(digest, hashes) of every row."""
+
+    @F.pandas_udf("digest string, hashes array<bigint>")
+    def sets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        from xxhash import xxh3_128_hexdigest
+
+        for batch in batches:
+            held = [shingle_set(raw, words) for raw in batch]
+            yield pd.DataFrame({"digest": [xxh3_128_hexdigest(h.tobytes()) for h in held], "hashes": [h.view(np.int64) for h in held]})
+
+    return docs.select(sets(whole_text(text).cast("binary")).alias("_set")).select("_set.*")
+
+
+def level_of(sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Sizes of similar sets are in one level or in neighbouring ones."""
+    return np.floor(np.log(np.maximum(sizes, 1)) / -math.log(similarity) * (1 - 1e-9)).astype(np.int64)
+
+
+def near_pairs(points: pd.DataFrame, similarity: float, most: int) -> pd.DataFrame:
+    """Up to ``most`` candidates of every point at home, nearest first: (node, root, cut); cut where there are more."""
+    prints, other = (points[c].to_numpy(np.int64).view(np.uint64) for c in ("print", "other"))
+    size, group, at_home = points["size"].to_numpy(np.int64), points["group"].to_numpy(), points["home"].to_numpy(bool)
+    group = pd.factorize(group)[0]
+    digest, bits = points["digest"].to_numpy(), radius(similarity)
+    stack, found = [(np.nonzero(at_home)[0], np.nonzero(~at_home)[0])], []
+    while stack:
+        own, guest = stack.pop()
+        if len(own) == 0 or len(own) + len(guest) < 2:
+            continue
+        split = best_split(prints[own[:: max(1, len(own) // 256)]], bits) if len(own) > LEAF else None
+        if split is not None:
+            far, mine = distance(prints[guest], split[0]), distance(prints[own], split[0])
+            inside, close = mine <= split[1], mine > split[1] - bits
+            stack.append((own[inside], guest[far <= split[1] + bits]))
+            stack.append((own[~inside], np.concatenate([guest[far > split[1] - bits], own[inside & close]])))
+            continue
+        everyone = np.concatenate([own, guest])
+        step = max(1, _BLOCK // len(everyone))
+        for lo in range(0, len(own), step):
+            here = own[lo : lo + step]
+            # A pair at home is found at its later member only.
+            against = np.concatenate([own[: lo + step], guest])
+            a, b = np.nonzero(np.bitwise_count(prints[here][:, None] ^ prints[against][None, :]) <= bits)
+            keep = (b < lo + a) | (b >= len(own[: lo + step]))
+            x, y = here[a[keep]], against[b[keep]]
+            gap = np.bitwise_count(other[x] ^ other[y])
+            ok = (gap <= bits) & (group[x] != group[y])
+            ok &= np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y]) - 1e-9
+            found.append((x[ok], y[ok], gap[ok]))
+    if not found:
+        return pd.DataFrame({"node": [], "root": [], "cut": []}).astype({"node": str, "root": str, "cut": bool})
+    x, y, gap = (np.concatenate(part) for part in zip(*found, strict=True))
+    pairs = pd.DataFrame({"x": x, "y": y, "gap": gap}).sort_values(["x", "gap", "y"], kind="stable")
+    place = pairs.groupby("x").cumcount()
+    pairs["cut"] = pairs.groupby("x")["y"].transform("size") > most
+    pairs = pairs[place < most]
+    return pd.DataFrame({"node": digest[pairs["x"]], "root": digest[pairs["y"]], "cut": pairs["cut"].to_numpy(bool)})
+
+
+_POINT = "digest string, print bigint, other bigint, size bigint, group string"
+
+
+def candidates(sets: DataFrame, similarity: float, most: int, shard: int = SHARD) -> DataFrame:
+    """Pairs (node, root, cut) of sets near enough to be compared. ``sets`` is a stored table of ``_POINT``."""
+    level = F.udf(lambda n: int(level_of(np.array([n]), similarity)[0]), "bigint")
+    counted = {r.level: r["count"] for r in sets.groupBy("size").count().withColumn("level", level("size")).groupBy("level").agg(F.sum("count").alias("count")).collect()}
+    total = sum(counted.values())
+    wanted = min(MAX_SAMPLE, max(SAMPLE * 8, total // 32))
+    rows = sets.orderBy(F.xxhash64("digest"), "digest").limit(wanted).select("print", "size").collect()
+    prints, sizes = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
+    levels, bits = level_of(sizes, similarity), radius(similarity)
+    trees = {k: Tree(prints[levels == k], _ALL, bits, -(-n // shard), n) for k, n in counted.items()}
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = batch.column("print").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            own = level_of(batch.column("size").to_numpy(zero_copy_only=False).astype(np.int64), similarity)
+            for up in (0, 1):
+                for k in np.unique(own + up).tolist():
+                    if k not in trees:
+                        continue
+                    here = np.nonzero(own + up == k)[0]
+                    for place, cell, at, home in trees[k].route(points[here], up == 0):
+                        n = len(at)
+                        if n:
+                            keys = [pa.array(np.full(n, v, np.int64)) for v in (k, place, cell)]
+                            yield pa.record_batch([*keys, pa.array(home), *batch.take(pa.array(here[at])).columns], ["level", "shard", "cell", "home", *batch.schema.names])
+
+    def search(group: pd.DataFrame) -> pd.DataFrame:
+        return near_pairs(group.sort_values("digest", kind="stable", ignore_index=True), similarity, most)
+
+    routed = sets.select("digest", "print", "other", "size", "group")
+    routed = routed.mapInArrow(route, f"level bigint, shard bigint, cell bigint, home boolean, {_POINT}")
+    return routed.groupBy("level", "shard", "cell").applyInPandas(search, "node string, root string, cut boolean")
+
+
+def checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets are similar. ``sets`` is a stored table (digest, hashes)."""
+    left = sets.select(F.col("digest").alias("node"), F.col("hashes").alias("_a"))
+    right = sets.select(F.col("digest").alias("root"), F.col("hashes").alias("_b"))
+    both = pairs.join(left, "node").join(right, "root")
+    shared = F.size(F.array_intersect("_a", "_b"))
+    whole = F.size("_a") + F.size("_b") - shared
+    return both.filter(shared >= F.lit(similarity) * whole - 1e-9).select("node", "root")
+
+
+def similar_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY, words: int = SHINGLE) -> DataFrame:
+    """One row per row of ``docs``: (doc_id, component_id), the smallest id of everything reachable over links."""
+    every = store(docs.select(F.col(doc_id).alias("doc_id"), summary(F.col(text), words).alias("_s")).select("doc_id", "_s.*"))
+    distinct = store(every.groupBy("digest", "print", "other", "size").agg(F.min("doc_id").alias("first_id")))
+    points, links, most = distinct.withColumn("group", F.col("digest")), None, MOST
+    while True:
+        pairs = store(candidates(points, similarity, most))
+        asked = store(pairs.select(F.explode(F.array("node", "root")).alias("digest")).distinct())
+        # Each set is built from one row: that of its smallest id, or any of those without an id.
+        owners = distinct.join(asked, "digest", "left_semi").select(F.col("first_id").alias("_id")).distinct()
+        rows = docs.join(owners, F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
+        sets = with_set(rows, text, words).dropDuplicates(["digest"]).join(asked, "digest", "left_semi")
+        good = checked(pairs.select("node", "root").distinct(), store(sets), similarity)
+        links = store(good if links is None else links.union(good))
+        roots = store(components(links))
+        if pairs.filter("cut").isEmpty():
+            break
+        grouped = distinct.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+        points, most = store(grouped.withColumn("group", F.coalesce("root", "digest")).drop("root")), most * 8
+    members = store(distinct.join(roots.withColumnRenamed("node", "digest"), "digest"))
+    smallest = store(members.groupBy("root").agg(F.min("first_id").alias("component_id")))
+    grouped = members.join(smallest, "root").select("digest", "component_id")
+    alone = distinct.join(roots, F.col("digest") == F.col("node"), "left_anti").select("digest", F.col("first_id").alias("component_id"))
+    return every.join(store(grouped.union(alone)), "digest").select("doc_id", "component_id")

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellamp.llm import decontaminate, language, mixing, shards, simhash
+from cellamp.llm import decontaminate, language, mixing, shards, similar
 from cellamp.llm.tables import table, word_count
 from cellamp.session import shared_dir, store
 
@@ -25,11 +25,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group.
+    """Keep the document with the smallest id of every group of texts with similar shingle sets (five words, 0.8).
 
     Rows without an id cannot stand for a group and stay; repeated rows of a kept id are one if their texts are equal.
     """
-    groups = store(simhash.near_duplicates(docs).select("doc_id", "component_id"))
+    groups = store(similar.similar_groups(docs))
     kept = groups.filter("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias("_id")).distinct()
     unique = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     repeated = groups.groupBy("doc_id").count().filter("count > 1")
