@@ -27,6 +27,8 @@ DIMENSIONS = 512
 SEED = 20
 # Letters are handled in blocks, so that a bundle of one block is exact in single precision.
 BLOCK = 1_000_000
+# Letters in the distinct words of a text from which on a low cosine says something about its language.
+LONG = 100
 # Trigram vectors a task keeps.
 KEPT = 16_384
 SLICE = 4_096
@@ -193,3 +195,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def noise_level(dimensions: int = DIMENSIONS) -> float:
     """A cosine that unrelated random vectors stay below (four standard deviations)."""
     return 4 / dimensions**0.5
+
+
+def is_short(text: Column) -> Column:
+    """Whether the distinct words of a text have too few letters to tell a language from noise.
+
+    The cosine of a clean text grows with the square root of its distinct trigrams; that of one word is within the noise.
+    Repeating words adds nothing.
+    """
+    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+"))
+    return F.length(F.array_join(words, "")) < LONG

@@ -17,11 +17,11 @@ from cellamp.session import shared_dir, store
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep texts that are nearer to some learned language than noise is; texts without letters go."""
+    """Keep texts with letters, unless they are long and no nearer to any learned language than noise is."""
     profiles = language.learn_profiles(docs.filter(~language.held_out()))
     found = docs.withColumn("_found", language.identify(F.col("text"), profiles))
-    known = (F.col("_found.lang_pred") != language.UNKNOWN) & (F.col("_found.score") > language.noise_level())
-    return found.filter(known).drop("_found")
+    near = (F.col("_found.score") > language.noise_level()) | language.is_short(F.col("text"))
+    return found.filter((F.col("_found.lang_pred") != language.UNKNOWN) & near).drop("_found")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
