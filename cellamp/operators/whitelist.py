@@ -106,12 +106,53 @@ def hamming_pairs(observed: DataFrame, whitelist: DataFrame, distance: int, leng
     )
 
 
+def prefix_pairs(observed: DataFrame, whitelist: DataFrame, distance: int, excess: int, longest: int) -> DataFrame:
+    """Pairs whose whitelist barcode is ``excess`` letters longer (shorter if negative): (obs, bc, wl_idx).
+
+    Their common part, up to the shorter one's end and ``longest`` letters at most, differs in exactly ``distance`` places.
+    Barcodes with one common part are no more than the ways to fill the letters behind it.
+    """
+    over, under = max(excess, 0), max(-excess, 0)
+    obs = observed.select(F.col("bc").alias("obs")).filter(F.length("obs") >= under)
+    wl = whitelist.select("bc", "wl_idx").filter(F.length("bc") >= over)
+    obs = obs.withColumn("_part", F.expr(f"substring(obs, 1, length(obs) - {under})"))
+    wl = wl.withColumn("_part", F.expr(f"substring(bc, 1, length(bc) - {over})"))
+    if distance == 0:
+        return obs.join(wl, "_part").select("obs", "bc", "wl_idx")
+    masks = list(combinations(range(longest), distance))
+    if not masks:
+        return obs.join(wl, "_part").select("obs", "bc", "wl_idx").limit(0)
+    inside = F.get("_mask", F.lit(distance - 1)) < F.length("_part")
+    left = _masked(obs, "_part", masks).filter(inside).withColumnRenamed("_picked", "_was").drop("_part")
+    # Expanding multiplies the rows behind the optimizer's size estimate, so neither side may be broadcast.
+    right = _masked(wl, "_part", masks).filter(inside).drop("_part").hint("merge")
+    differs = reduce(
+        lambda a, b: a & b,
+        [F.substring("_was", i + 1, 1) != F.substring("_picked", i + 1, 1) for i in range(distance)],
+    )
+    return left.join(right, ["_mask", "_rest"]).filter(differs).select("obs", "bc", "wl_idx")
+
+
 def hamming_join(observed: DataFrame, whitelist: DataFrame, distance: int, length: int) -> DataFrame:
-    """All pairs within a Hamming distance, with the distance."""
+    """All pairs within a Hamming distance, with the distance; letters that only the longer barcode has are mismatches.
+
+    ``length`` is the usual length of a barcode; others are joined as they occur.
+    """
+    sides = [{length, *(r[0] for r in df.select(F.length("bc")).distinct().collect() if r[0] is not None)} for df in (observed, whitelist)]
+    common = {}
+    for a in sides[0]:
+        for b in sides[1]:
+            if abs(b - a) <= distance:
+                common[b - a] = max(common.get(b - a, 0), min(a, b))
     parts = [
-        hamming_pairs(observed, whitelist, d, length).select("obs", "bc", "wl_idx", F.lit(d).alias("distance"))
-        for d in range(distance + 1)
+        prefix_pairs(observed, whitelist, d, excess, longest).select(
+            "obs", "bc", "wl_idx", F.lit(d + abs(excess)).alias("distance")
+        )
+        for excess, longest in sorted(common.items())
+        for d in range(distance - abs(excess) + 1)
     ]
+    if not parts:
+        parts = [hamming_pairs(observed, whitelist, 0, length).select("obs", "bc", "wl_idx", F.lit(0).alias("distance"))]
     return reduce(DataFrame.unionByName, parts)
 
 
