@@ -112,6 +112,26 @@ def level_of(sizes: np.ndarray, similarity: float) -> np.ndarray:
     return np.floor(np.log(np.maximum(sizes, 1)) / -math.log(similarity) * (1 - 1e-9)).astype(np.int64)
 
 
+def worthwhile(points: np.ndarray, bits: int) -> tuple[np.uint64, int] | None:
+    """The best split, unless nearly everything would go to both sides."""
+    split = best_split(points, bits)
+    if split is None:
+        return None
+    far = distance(points, split[0])
+    inner, close = int((far <= split[1]).sum()), int(((far <= split[1]) & (far > split[1] - bits)).sum())
+    outer = len(points) - inner
+    return split if inner * inner + outer * (outer + close) < 0.7 * len(points) ** 2 else None
+
+
+class SizedTree(Tree):
+    """Upper levels of a tree over the sets of one level of sizes, on all bits."""
+
+    def _grow(self, points: np.ndarray, enough: int, share: float):
+        if len(points) > enough and worthwhile(points, self.radius) is None:
+            enough = len(points)
+        return super()._grow(points, enough, share)
+
+
 def near_pairs(points: pd.DataFrame, similarity: float, most: int) -> pd.DataFrame:
     """Up to ``most`` candidates of every point at home, nearest first: (node, root, cut); cut where there are more."""
     prints, other = (points[c].to_numpy(np.int64).view(np.uint64) for c in ("print", "other"))
@@ -123,7 +143,7 @@ def near_pairs(points: pd.DataFrame, similarity: float, most: int) -> pd.DataFra
         own, guest = stack.pop()
         if len(own) == 0 or len(own) + len(guest) < 2:
             continue
-        split = best_split(prints[own[:: max(1, len(own) // 256)]], bits) if len(own) > LEAF else None
+        split = worthwhile(prints[own[:: max(1, len(own) // 256)]], bits) if len(own) > LEAF else None
         if split is not None:
             far, mine = distance(prints[guest], split[0]), distance(prints[own], split[0])
             inside, close = mine <= split[1], mine > split[1] - bits
@@ -165,7 +185,7 @@ def candidates(sets: DataFrame, similarity: float, most: int, shard: int = SHARD
     rows = sets.orderBy(F.xxhash64("digest"), "digest").limit(wanted).select("print", "size").collect()
     prints, sizes = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
     levels, bits = level_of(sizes, similarity), radius(similarity)
-    trees = {k: Tree(prints[levels == k], _ALL, bits, -(-n // shard), n) for k, n in counted.items()}
+    trees = {k: SizedTree(prints[levels == k], _ALL, bits, -(-n // shard), n) for k, n in counted.items()}
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
