@@ -68,8 +68,9 @@ def gram_length(words: list[bytes], budget: int) -> tuple[int, int]:
     """Longest n-gram (3 at most) of which one is sure to survive ``budget`` points of damage, and how many do."""
     for n in (3, 2, 1):
         distinct = len({tuple(words[k : k + n]) for k in range(len(words) - n + 1)})
-        # An inserted word breaks n - 1 grams for one point, a changed or dropped one n grams for two points.
-        sure = distinct - max(budget * (n - 1), budget * n // 2)
+        # An inserted word breaks n - 1 grams for one point, a changed or dropped one n grams for two points, and one cut from
+        # an end a gram for one point.
+        sure = distinct - max(budget * (n - 1), budget * n // 2, budget)
         if sure >= 1 or n == 1:
             return n, max(1, sure)
     raise AssertionError
