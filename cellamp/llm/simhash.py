@@ -281,7 +281,7 @@ def linked(prints: DataFrame, max_bits: int = MAX_BITS, parts: int = PARTS, shar
 def near_duplicates(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_bits: int = MAX_BITS, words: int = SHINGLE
 ) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, print, component_id).
+    """One row per row of ``docs``: (doc_id, print, component_id, group); ``group`` is a fingerprint that names the component.
 
     Texts are read once. From then on only ids and fingerprints move, and the ids of a group are never brought together:
     a group's smallest id is an aggregate, handed back by joins of stored tables that adaptive execution splits where a
@@ -292,10 +292,10 @@ def near_duplicates(
     roots = store(components(linked(distinct.select("print"), max_bits)).withColumnRenamed("node", "print"))
     members = store(distinct.join(roots, "print"))
     smallest = store(members.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    grouped = members.join(smallest, "root").select("print", "component_id")
-    alone = distinct.join(roots.select("print"), "print", "left_anti").select("print", F.col("first_id").alias("component_id"))
-    owners = store(grouped.union(alone))
-    return every.join(owners, "print").select("doc_id", "print", "component_id")
+    grouped = members.join(smallest, "root").select("print", "component_id", F.col("root").alias("group"))
+    alone = distinct.join(roots.select("print"), "print", "left_anti")
+    owners = store(grouped.union(alone.select("print", F.col("first_id").alias("component_id"), F.col("print").alias("group"))))
+    return every.join(owners, "print").select("doc_id", "print", "component_id", "group")
 
 
 def as_hex(fingerprint: Column) -> Column:
