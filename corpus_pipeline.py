@@ -1,7 +1,7 @@
 """The documents' way to training shards: language, near-duplicates, benchmark leaks, mixture, shards.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept. All stages but the last return the
-columns of documents.
+columns of documents, also those whose names the operators use for results: a stage carries the row as one struct beside what it needs.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellamp.llm import decontaminate, language, mixing, shards, similar
+from cellamp.llm import decontaminate, language, mixing, shards, simhash
 from cellamp.llm.tables import table, word_count
 from cellamp.session import shared_dir, store
 
@@ -19,21 +19,35 @@ from cellamp.session import shared_dir, store
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep texts with letters, unless they are long and no nearer to any learned language than noise is."""
     profiles = language.learn_profiles(docs.filter(~language.held_out()))
-    found = docs.withColumn("_found", language.identify(F.col("text"), profiles))
-    near = (F.col("_found.score") > language.noise_level()) | language.is_short(F.col("text"))
-    return found.filter((F.col("_found.lang_pred") != language.UNKNOWN) & near).drop("_found")
+    found = docs.select(F.struct("*").alias("row"), "text", language.identify(F.col("text"), profiles).alias("found"))
+    near = (F.col("found.score") > language.noise_level()) | language.is_short(F.col("text"))
+    return found.filter((F.col("found.lang_pred") != language.UNKNOWN) & near).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group of texts with similar shingle sets (five words, 0.8).
+    """Keep one document of every SimHash group (four-word shingles, links at 4 bits or fewer): that with the smallest id.
 
-    Rows without an id cannot stand for a group and stay; repeated rows of a kept id are one if their texts are equal.
+    Rows without an id come last; a group that has only such rows keeps one of them. Of rows that share the kept id, the one with
+    the smallest fingerprint stays, and of those with equal fingerprints the one with the smallest digest of its columns.
     """
-    groups = store(similar.similar_groups(docs))
-    kept = groups.filter("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias("_id")).distinct()
-    unique = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    repeated = groups.groupBy("doc_id").count().filter("count > 1")
-    return unique if repeated.isEmpty() else unique.dropDuplicates(["doc_id", "text"])
+    heads = simhash.near_duplicates(docs).filter("doc_id <=> component_id").groupBy("doc_id", "group")
+    heads = store(heads.agg(F.min("print").alias("print"), F.count("*").alias("rows")))
+    # An id is told apart from its repeats by more than its number; there are none in most tables.
+    doubtful = store(heads.groupBy("doc_id").agg(F.sum("rows").alias("rows")).filter("rows > 1 or doc_id is null").select("doc_id"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    plain = rows.join(heads.join(doubtful, "doc_id", "left_anti").filter("doc_id is not null"), "doc_id", "left_semi").select("row.*")
+    if doubtful.isEmpty():
+        return plain
+    repeated = rows.join(doubtful.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    repeated = store(
+        repeated.select("row", "doc_id", simhash.fingerprint(F.col("text")).alias("print"), F.sha2(F.to_json("row"), 256).alias("digest"))
+    )
+    chosen = heads.select(F.col("doc_id").alias("id"), F.col("print").alias("least"))
+    own = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("print") == F.col("least"))
+    first = store(repeated.join(chosen, own, "left_semi").groupBy("doc_id", "print").agg(F.min("digest").alias("digest")))
+    first = first.select(F.col("doc_id").alias("id"), F.col("print").alias("least"), F.col("digest").alias("lowest"))
+    stay = repeated.join(first, own & (F.col("digest") == F.col("lowest")), "left_semi").dropDuplicates(["doc_id", "print", "digest"])
+    return plain.unionByName(stay.select("row.*"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,11 +57,10 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take every document as often as the mixture says: a row per copy."""
-    sized = store(docs.select("doc_id", "source", word_count().alias("size")))
-    plan = mixing.mixing_plan(sized)
-    mixed = mixing.with_copies(docs.withColumn("size", word_count()), plan)
+    plan = mixing.mixing_plan(store(docs.select("doc_id", "source", word_count().alias("size"))))
+    mixed = mixing.with_copies(docs.select(F.struct("*").alias("row"), "doc_id", "source", word_count().alias("size")), plan)
     copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return mixed.filter("copies > 0").withColumn("_copy", copies).select(*docs.columns)
+    return mixed.filter("copies > 0").select("row", copies.alias("copy")).select("row.*")
 
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
