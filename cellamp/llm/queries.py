@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellamp.llm import chat, decontaminate, language, licenses, mixing, shards, simhash, sketch, token_counts, warc
+from cellamp.llm import alignment, chat, decontaminate, language, licenses, mixing, shards, simhash, sketch, token_counts, warc
 from cellamp.llm.tables import table
 
 
@@ -71,11 +71,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents").withColumn("path", path))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        vocabulary = file.read()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    return alignment.align(table(spark, sf_dir, "documents"), alignment.Tokenizers(vocabulary, model))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_shards, op3_token_counts, op4_chat, op5_language, op6_warc, op7_simhash, op8_fingerprints, op9_mixing,
-        op10_licenses,
+        op10_licenses, op13_alignment,
     )
 }
 
