@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellamp.llm import alignment, chat, decontaminate, language, licenses, mixing, shards, simhash, sketch, token_counts, warc
+from cellamp.llm import alignment, chat, clustering, decontaminate, extraction, language, licenses, mixing, shards, simhash, sketch, token_counts, warc
 from cellamp.llm.tables import table
 
 
@@ -71,6 +71,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents").withColumn("path", path))
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         vocabulary = file.read()
@@ -83,7 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_shards, op3_token_counts, op4_chat, op5_language, op6_warc, op7_simhash, op8_fingerprints, op9_mixing,
-        op10_licenses, op13_alignment,
+        op10_licenses, op11_clustering, op12_extraction, op13_alignment,
     )
 }
 
@@ -130,5 +138,38 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM named"""
 
 
+def clustering_sql(clusters: int = clustering.CLUSTERS, rounds: int = clustering.ROUNDS, dimensions: int = clustering.DIMENSIONS) -> str:
+    """Every round as two tables: the nearest centroid of each vector, and the new centroids."""
+    parts = [f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id::BIGINT AS vec_id,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v,
+         sha256('{clustering.SEED}:' || vec_id::VARCHAR) AS hash
+  FROM embeddings
+  WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY hash NULLS LAST, v) - 1)::INTEGER AS cluster, v FROM vectors
+  QUALIFY row_number() OVER (ORDER BY hash NULLS LAST, v) <= {clusters})"""]
+    for k in range(rounds + 1):
+        parts.append(f"""
+d{k} AS (
+  SELECT row, cluster, list_sum(list_transform(range(1, {dimensions + 1}), lambda i: (a.v[i] - c.v[i]) * (a.v[i] - c.v[i])))::BIGINT AS distance
+  FROM vectors a, c{k} c),
+a{k} AS MATERIALIZED (
+  SELECT row, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM d{k} GROUP BY row)""")
+        if k < rounds:
+            parts.append(f"""
+m{k} AS (
+  SELECT cluster, i, floor(sum(v.v[i]) / count(*))::BIGINT AS x
+  FROM a{k} JOIN vectors v USING (row), range(1, {dimensions + 1}) AS r(i) GROUP BY cluster, i),
+c{k + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(n.v, c.v) AS v
+  FROM c{k} c LEFT JOIN (SELECT cluster, list(x ORDER BY i) AS v FROM m{k} GROUP BY cluster) n USING (cluster))""")
+    return ",".join(parts) + f"""
+SELECT vec_id, a.cluster, distance, (sum(distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN vectors USING (row) JOIN c{rounds} c ON c.cluster = a.cluster"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_shards": shards_sql(), "op4_chat": CHAT_SQL, "op6_warc": WARC_SQL}
+    return {"op2_shards": shards_sql(), "op4_chat": CHAT_SQL, "op6_warc": WARC_SQL, "op11_clustering": clustering_sql()}
