@@ -24,10 +24,12 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +42,11 @@ SHARD = 16_384
 # Pairs whose functions and counts are sent to all tasks at once (some 40 MB).
 BLOCK = 2_000_000
 FAN = 16
-# Links a task handles at a time, unless one text has more.
-SLICE = 500_000
+# A tokens a task aligns at a time, and bytes of text it encodes at a time, unless one text has more.
+SLICE = 100_000
+PART = 1_000_000
+# Distinct pairs a task holds before it hands them on.
+HELD = 1_000_000
 _A_BITS = 32
 
 # Fixed value: how byte-level BPE cuts a text before its merges.
@@ -60,7 +65,6 @@ class ByteLevel:
 
     def __init__(self, vocabulary: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         content = json.loads(vocabulary)
         letters, model = byte_letters(), content["model"]
@@ -70,8 +74,7 @@ class ByteLevel:
         self.bytes = [b""] * size
         for raw, k in spelled.items():
             self.bytes[k] = raw
-        self.library = Tokenizer.from_str(vocabulary)
-        self.library.encode_special_tokens = True
+        self.vocabulary = vocabulary
         merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
         ranked = all(a < b for a, b in zip(merged, merged[1:], strict=False)) and all(bytes([b]) in spelled for b in range(256))
         # Where ids rise with the rank of their merges, as they do in vocabularies of this kind, ids serve as ranks.
@@ -79,6 +82,14 @@ class ByteLevel:
         # The fast encoder's pattern cannot look ahead over very long runs.
         self.long_run = re.compile(r"\s{2000}")
 
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_str(self.vocabulary)
+        library.encode_special_tokens = True
+        return library
+
     def encode(self, text: str) -> list[int]:
         if self.fast is None or self.long_run.search(text):
             return self.library.encode(text, add_special_tokens=False).ids
@@ -115,15 +126,20 @@ class Tokenizers:
         return tuple(np.array([len(b) for b in side.bytes], np.int32) for side in self.open())
 
 
+def id_type(size: int) -> str:
+    """How ids of a vocabulary of this size are stored."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
 def encode_texts(docs: DataFrame, tokenizers: Tokenizers, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, a, b): token ids as little-endian 32-bit numbers, nothing for texts without tokens."""
+    """(doc_id, a, b): token ids as little-endian numbers of 16 or 32 bits, nothing for texts without tokens."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         byte_level, pieces = tokenizers.open()
         spell_a, spell_b = byte_level.bytes.__getitem__, pieces.bytes.__getitem__
+        type_a, type_b = id_type(len(byte_level.bytes)), id_type(len(pieces.bytes))
         for batch in batches:
-            # A few megabytes of text at a time; ids take about as much room as their text.
-            for part in _bounded(batch, 1, 4_000_000):
+            for part in _bounded(batch, 1, PART):
                 ids_a, ids_b = [], []
                 for value in part.column(1):
                     body = value.as_py()
@@ -132,8 +148,8 @@ def encode_texts(docs: DataFrame, tokenizers: Tokenizers, doc_id: str = "doc_id"
                     raw = b" " + body.encode() if body else b""
                     if b"".join(map(spell_a, a)) != raw or b"".join(map(spell_b, b)) != raw:
                         a, b = [], []
-                    ids_a.append(np.array(a, "<u4").tobytes())
-                    ids_b.append(np.array(b, "<u4").tobytes())
+                    ids_a.append(np.array(a, type_a).tobytes())
+                    ids_b.append(np.array(b, type_b).tobytes())
                 yield pa.record_batch([part.column(0), pa.array(ids_a, pa.binary()), pa.array(ids_b, pa.binary())], ["doc_id", "a", "b"])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -142,7 +158,7 @@ def encode_texts(docs: DataFrame, tokenizers: Tokenizers, doc_id: str = "doc_id"
 
 def _bounded(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose values in a column have about ``limit`` bytes, at least one row each."""
-    sizes = np.array([0 if v is None else len(v) for v in batch.column(column).to_pylist()], np.int64)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = (np.cumsum(sizes) - sizes) // limit
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for lo, hi in zip(edges, edges[1:], strict=False):
@@ -150,12 +166,18 @@ def _bounded(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.Reco
             yield batch.slice(lo, hi - lo)
 
 
+def slices(tokens: pa.RecordBatch, lengths: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    return _bounded(tokens, 1, SLICE * np.dtype(id_type(len(lengths[0]))).itemsize)
+
+
 class Aligned:
     """The tokens of several texts, one after the other. Every text ends in a token end of both, so groups never span two texts."""
 
     def __init__(self, batch: pa.RecordBatch, lengths: tuple[np.ndarray, np.ndarray]):
-        self.a, self.b = (np.frombuffer(b"".join(c.to_pylist()), "<u4").astype(np.int64) for c in (batch.column(1), batch.column(2)))
-        self.n_a, self.n_b = (np.array([len(v) // 4 for v in c.to_pylist()], np.int64) for c in (batch.column(1), batch.column(2)))
+        types = [np.dtype(id_type(len(side))) for side in lengths]
+        sides = [c.to_pylist() for c in batch.columns[1:3]]
+        self.a, self.b = (np.frombuffer(b"".join(side), kind).astype(np.int64) for side, kind in zip(sides, types, strict=True))
+        self.n_a, self.n_b = (np.array([len(v) // kind.itemsize for v in side], np.int64) for side, kind in zip(sides, types, strict=True))
         end_a, end_b = np.cumsum(lengths[0][self.a]), np.cumsum(lengths[1][self.b])
         upto = int(end_a[-1]) + 1 if len(end_a) else 1
         is_a, is_b = np.zeros(upto, bool), np.zeros(upto, bool)
@@ -171,11 +193,9 @@ class Aligned:
         self.keys = (self.b[self.at_b] << _A_BITS) | self.a[self.at_a]
 
     def per_text(self, at: np.ndarray, values: np.ndarray) -> np.ndarray:
-        """Sums of values that belong to A tokens at the given places."""
-        text = np.repeat(np.arange(len(self.n_a)), self.n_a)[at]
-        out = np.zeros(len(self.n_a), np.int64)
-        np.add.at(out, text, values)
-        return out
+        """Sums per text of values that belong to A tokens at the given places, which ascend."""
+        upto = np.concatenate([[0], np.cumsum(values)])[np.searchsorted(at, np.cumsum(self.n_a))]
+        return np.diff(upto, prepend=0)
 
     def group_lines(self, table: list[bytes], size_a: int) -> list[str]:
         """SHA-256 of every text's groups, written as ``a1,a2|b1;a3|b2,b3``."""
@@ -207,9 +227,9 @@ def distinct_pairs(tokens: DataFrame, lengths: tuple[np.ndarray, np.ndarray]) ->
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(0, np.int64)
         for batch in batches:
-            for part in _bounded(batch, 1, SLICE * 4):
+            for part in slices(batch, lengths):
                 held = np.union1d(held, Aligned(part, lengths).keys)
-                if len(held) > 4 * SLICE:
+                if len(held) > HELD:
                     yield pa.record_batch([pa.array(held)], ["key"])
                     held = np.zeros(0, np.int64)
         yield pa.record_batch([pa.array(held)], ["key"])
@@ -268,7 +288,7 @@ def pair_counts(tokens: DataFrame, lengths: tuple, functions: DataFrame, shards:
             lookup = _lookup(sent.value, shards)
             total = np.zeros(len(lookup.keys), np.int64)
             for batch in batches:
-                for part in _bounded(batch, 1, SLICE * 4):
+                for part in slices(batch, lengths):
                     keys, times = np.unique(Aligned(part, lengths).keys, return_counts=True)
                     index = lookup.index(keys)
                     total[index[index >= 0]] += times[index >= 0]
@@ -338,7 +358,7 @@ def align(
             is_best = counts == best[lookup.keys >> _A_BITS]
             table = written_ids(size_a, size_b) if first else []
             for batch in batches:
-                for part in _bounded(batch, 1, SLICE * 4):
+                for part in slices(batch, lengths):
                     lines = Aligned(part, lengths)
                     keys, inverse = np.unique(lines.keys, return_inverse=True)
                     index = lookup.index(keys)
