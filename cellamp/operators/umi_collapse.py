@@ -7,6 +7,8 @@ them do not influence each other, which is what lets very large cells be worked
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -18,12 +20,14 @@ from cellamp.functions.calls import collapsed_call
 from cellamp.functions.distance import neighbour_lists
 from cellamp.operators.packing import MAX_PACKED, pack_cells, packed_text
 from cellamp.operators.skew import mark
-from cellamp.operators.umi_graph import MAX_CELL, _threshold, split_cells, umi_edges, weak_components
+from cellamp.operators.umi_graph import MAX_CELL, _threshold, mutual_components, split_cells, umi_edges, weak_components
 from cellamp.session import by_cell, store
 
 FIELDS = ("umi", "n_wt", "n_mut", "n_amb", "call")
 # Components of large cells up to this many edges are collapsed inside one task.
 MAX_COMPONENT = 200_000
+# Tables of a search that are kept apart before they are put together.
+SEEN_TABLES = 8
 _NODE = "umi string, n_wt bigint, n_mut bigint, n_amb bigint"
 
 
@@ -101,25 +105,44 @@ def _collapse_component(params: Params):
     return run
 
 
+def _reached(keepers: DataFrame, edges: DataFrame, knots: DataFrame) -> DataFrame:
+    """(bc, comp, umi) that the keepers reach along edges, themselves included; all arguments are stored.
+
+    UMIs that reach each other along edges that run both ways are one knot, and the search goes from knot to knot along the others. With edges that
+    all run both ways it ends after one step, whatever the diameter of a component.
+    """
+    src = knots.select("bc", F.col("umi").alias("src"), F.col("knot").alias("_from"))
+    dst = knots.select("bc", F.col("umi").alias("dst"), F.col("knot").alias("_to"))
+    lines = edges.join(src, ["bc", "src"], "left").join(dst, ["bc", "dst"], "left").select(
+        "bc", F.coalesce("_from", "src").alias("knot"), F.coalesce("_to", "dst").alias("to")
+    )
+    lines = store(lines.filter("knot <> to").distinct())
+    own = knots.select("bc", "umi", "knot")
+    frontier = store(keepers.join(own, ["bc", "umi"], "left").select("bc", "comp", F.coalesce("knot", "umi").alias("knot")))
+    seen = [frontier]
+    while True:
+        step = lines.join(frontier, ["bc", "knot"]).select("bc", "comp", F.col("to").alias("knot")).distinct()
+        for before in seen:
+            step = step.join(before.select("bc", "knot"), ["bc", "knot"], "left_anti")
+        frontier = store(step)
+        if frontier.isEmpty():
+            break
+        seen.append(frontier)
+        if len(seen) == SEEN_TABLES:
+            seen = [store(reduce(DataFrame.unionByName, seen))]
+    reached = store(reduce(DataFrame.unionByName, seen))
+    members = reached.join(own, ["bc", "knot"]).select("bc", "comp", "umi")
+    single = reached.withColumnRenamed("knot", "umi").join(own.select("bc", "umi"), ["bc", "umi"], "left_anti")
+    return store(members.unionByName(single.select("bc", "comp", "umi")))
+
+
 def _greedy_round(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One takeover in every component at once. ``edges`` carry their component; both are stored."""
     degrees = edges.groupBy("bc", "comp", "src").agg(F.count("*").alias("n"))
     keepers = store(
         degrees.groupBy("bc", "comp").agg(F.min_by("src", F.struct((-F.col("n")).alias("n"), "src")).alias("umi"))
     )
-    reached = frontier = keepers.select("bc", "comp", "umi")
-    while True:
-        step = (
-            edges.select("bc", F.col("src").alias("umi"), "dst")
-            .join(frontier, ["bc", "umi"])
-            .select("bc", "comp", F.col("dst").alias("umi"))
-            .distinct()
-            .join(reached.select("bc", "umi"), ["bc", "umi"], "left_anti")
-        )
-        frontier = store(step.select("bc", "comp", "umi"))
-        if frontier.isEmpty():
-            break
-        reached = reached.unionByName(frontier)
+    reached = _reached(keepers, edges, mutual_components(edges))
     sums = (
         nodes.join(reached, ["bc", "umi"])
         .groupBy("bc", "comp")

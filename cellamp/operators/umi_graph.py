@@ -1,9 +1,15 @@
 """Directed neighbour graph of the UMIs of a cell.
 
-Cells of bounded size are compared where they are. In larger ones no step pairs up all UMIs. A match of cost t leaves all but t characters of the pattern as a
-subsequence of the text, so UMIs of one length are joined on their subsequences of that size; only a bounded
-number of UMIs of that length share one. For two lengths, or where those subsequences are too many, the
-pattern is cut into t + 1 pieces, one of which must occur in the text unchanged.
+Cells of bounded size are compared where they are. In larger ones no step pairs up all UMIs. A pattern of L characters that matches within
+cost t keeps L - t characters that occur in this order in a window of L characters of the text: errors lengthen the window by one each, and
+every extra character of the text leaves one kept character to spare, which may be dropped at an end. So patterns are joined with
+texts of any length on the subsequences that are left when t characters are dropped, of the pattern and of every window of the text.
+
+Long patterns would have too many such subsequences. They are cut into parts, one of which has no more than its share of the
+errors, and each part is joined by its own subsequences with the windows that lie where the part may be found.
+
+A subsequence of a whole pattern is shared by a bounded number of UMIs. One of a part may be common, as in a family of UMIs with equal halves: keys
+are counted first, and one with too many pairs is dealt out to several tasks.
 """
 
 from __future__ import annotations
@@ -19,10 +25,14 @@ from cellamp.config import Params
 from cellamp.functions.calls import distance_threshold
 from cellamp.functions.distance import METRICS, levenshtein_bound, unanchored_distance
 from cellamp.operators.packing import pack_cells
-from cellamp.operators.skew import mark
+from cellamp.operators.components import components
+from cellamp.operators.skew import fits_broadcast, mark
 from cellamp.session import by_cell, store
 
+# Subsequences per pattern; longer patterns are cut into parts.
 MAX_VARIANTS = 1000
+# Pairs a key may make in one place of a join.
+KEY_PAIRS = 1_000_000
 # Cells up to this many UMIs are handled as one row; larger ones go through joins.
 MAX_CELL = 2000
 
@@ -31,66 +41,92 @@ def _threshold(length: int, distance: float) -> int:
     return int(length * distance) if distance < 1 else int(distance)
 
 
-def _subsequences(nodes: DataFrame, length: int, dropped: int) -> DataFrame:
-    """One row per node and distinct subsequence with ``dropped`` characters left out."""
+def _parts(length: int, threshold: int, most: int = MAX_VARIANTS) -> tuple[list[tuple[int, int]], int]:
+    """(start, size) of the parts of a pattern, starts from 1, and the characters to drop from each."""
+    for n in range(1, length + 1):
+        dropped = min(threshold // n, length // n)
+        if n * comb(-(-length // n), dropped) <= most or n == length:
+            cuts = [length * k // n for k in range(n + 1)]
+            return [(a + 1, b - a) for a, b in zip(cuts, cuts[1:])], dropped
+    return [(1, length)], 0
+
+
+def _subsequences(text: Column, length: int, dropped: int, name: int) -> Column:
+    """What is left of a text of the given length without ``dropped`` of its characters, in every way, marked with the part's number."""
     masks = []
     for mask in combinations(range(length), dropped):
         cuts = [-1, *mask, length]
         runs = [f"array({a + 2}, {b - a - 1})" for a, b in zip(cuts, cuts[1:]) if b - a > 1]
-        masks.append(f"array({', '.join(runs)})")
-    texts = F.transform(
+        masks.append(f"array({', '.join(runs)})" if runs else "cast(array() as array<array<int>>)")
+    left = F.transform(
         F.expr(f"array({', '.join(masks)})"),
-        lambda runs: F.array_join(F.transform(runs, lambda r: F.substring("umi", r[0], r[1])), ""),
+        lambda runs: F.array_join(F.transform(runs, lambda r: F.substring(text, r[0], r[1])), ""),
     )
-    return nodes.select("bc", "umi", F.explode(F.array_distinct(texts)).alias("key"))
+    return F.transform(left, lambda key: F.concat(F.lit(f"{name}:"), key))
 
 
-def _pieces(length: int, threshold: int) -> list[tuple[int, int]]:
-    """Start (1-based) and size of threshold + 1 nearly equal pieces."""
-    cuts = [length * i // (threshold + 1) for i in range(threshold + 2)]
-    return [(a + 1, b - a) for a, b in zip(cuts, cuts[1:])]
+def _pattern_keys(length: int, threshold: int) -> Column:
+    parts, dropped = _parts(length, threshold)
+    keys = [_subsequences(F.substring("umi", start, size), size, min(dropped, size), k) for k, (start, size) in enumerate(parts)]
+    return F.array_distinct(F.concat(*keys))
 
 
-def _grams(text: str, size: int) -> Column:
-    """All substrings of one size."""
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - size + 1))
-    return F.transform(starts, lambda start: F.substring(text, start, F.lit(size)))
+def _window_keys(size: int, dropped: int, name: int):
+    return lambda at: _subsequences(F.substring("umi", at, F.lit(size)), size, dropped, name)
 
 
-def _piece_join(nodes: DataFrame, length: int, threshold: int, other_lengths: list[int]) -> DataFrame:
-    pieces = _pieces(length, threshold)
-    patterns = nodes.filter(F.length("umi") == length).select(
-        "bc",
-        F.col("umi").alias("src"),
-        F.explode(F.array_distinct(F.array(*[F.substring("umi", s, n) for s, n in pieces]))).alias("key"),
-    )
-    texts = nodes.filter(F.length("umi").isin(other_lengths)).select("bc", F.col("umi").alias("dst"))
-    grams = F.flatten(F.array(*[_grams("dst", n) for n in sorted({n for _, n in pieces})]))
-    texts = texts.select("bc", "dst", F.explode(F.array_distinct(grams)).alias("key"))
-    return patterns.join(texts.hint("merge"), ["bc", "key"]).filter("src <> dst").select("bc", "src", "dst")
+def _text_keys(length: int, threshold: int) -> Column:
+    """Keys under which a text of any length meets the patterns of one length."""
+    parts, dropped = _parts(length, threshold)
+    own = F.length("umi")
+    keys = []
+    for k, (start, size) in enumerate(parts):
+        drop = min(dropped, size)
+        last = own - size + 1
+        lo = F.greatest(F.lit(1), F.least(last, F.lit(start - threshold)))
+        hi = F.greatest(lo, F.least(last, own + (start + drop + threshold - length)))
+        windows = F.transform(F.sequence(lo, hi), _window_keys(size, drop, k))
+        # Texts shorter than the window have already lost the characters that are missing.
+        found = F.when(own >= size, F.flatten(windows))
+        for short in range(max(0, size - drop), size):
+            found = found.when(own == short, _subsequences(F.col("umi"), short, short - (size - drop), k))
+        keys.append(F.coalesce(found, F.expr("cast(array() as array<string>)")))
+    return F.array_distinct(F.concat(*keys))
+
+
+def paired(left: DataFrame, right: DataFrame, keys: list[str], spread_by: str, most: int = KEY_PAIRS) -> DataFrame:
+    """Inner join in which no key makes more than about ``most`` pairs in one place.
+
+    Rows per key are counted on both sides. The left rows of a key with more pairs are dealt out, and its right rows go to each place.
+    """
+    sizes = left.groupBy(*keys).agg(F.count("*").alias("_l")).join(right.groupBy(*keys).agg(F.count("*").alias("_r")), keys)
+    over = store(sizes.filter(F.col("_l") * F.col("_r") > most).select(*keys, F.ceil(F.col("_l") * F.col("_r") / most).cast("int").alias("_places")))
+    if over.isEmpty():
+        return left.join(right.hint("merge"), keys)
+    if fits_broadcast(over):
+        over = F.broadcast(over)
+    places = F.coalesce(F.col("_places"), F.lit(1))
+    left = left.join(over, keys, "left").withColumn("_place", F.pmod(F.xxhash64(spread_by), places).cast("int")).drop("_places")
+    right = right.join(over, keys, "left").withColumn("_place", F.explode(F.sequence(F.lit(0), places - 1))).drop("_places")
+    return left.join(right.hint("merge"), [*keys, "_place"]).drop("_place")
 
 
 def candidate_pairs(nodes: DataFrame, params: Params = Params()) -> DataFrame:
-    """Every pair within the distance and some more, each once: (bc, src, dst), src being the pattern."""
+    """Every pair within the distance and some more (bc, src, dst), src being the pattern. A pair may occur more than once."""
     lengths = sorted(r[0] for r in nodes.select(F.length("umi")).distinct().collect())
     found = []
     for length in lengths:
         t = _threshold(length, params.umi_distance)
         if t <= 0:
             continue
-        others = [n for n in lengths if n != length]
-        if t < length and comb(length, t) <= MAX_VARIANTS:
-            keyed = _subsequences(nodes.filter(F.length("umi") == length), length, t)
-            left, right = keyed.withColumnRenamed("umi", "src"), keyed.withColumnRenamed("umi", "dst")
-            same = left.join(right.hint("merge"), ["bc", "key"]).filter("src <> dst").select("bc", "src", "dst")
-            found.append(same)
-        else:
-            others.append(length)
-        if others:
-            found.append(_piece_join(nodes, length, t, others))
+        patterns = nodes.filter(F.length("umi") == length)
+        patterns = patterns.select("bc", F.col("umi").alias("src"), F.explode(_pattern_keys(length, t)).alias("key"))
+        texts = nodes.filter(F.length("umi") >= length - t)
+        texts = texts.select("bc", F.col("umi").alias("dst"), F.explode(_text_keys(length, t)).alias("key"))
+        found.append(paired(patterns, texts, ["bc", "key"], "src").filter("src <> dst").select("bc", "src", "dst"))
     if not found:
         return nodes.select("bc", F.col("umi").alias("src"), F.col("umi").alias("dst")).filter(F.lit(False))
-    return reduce(DataFrame.unionByName, found).distinct()
+    return reduce(DataFrame.unionByName, found)
 
 
 def _near_pairs(packed: DataFrame, params: Params) -> DataFrame:
@@ -128,7 +164,8 @@ def umi_edges(nodes: DataFrame, params: Params = Params(), max_cell: int = MAX_C
         joined = candidate_pairs(large, params)
         bound = levenshtein_bound(src, dst, threshold)
         close = F.levenshtein(src, dst) <= threshold if params.umi_metric == "levenshtein" else bound
-        pairs = pairs.unionByName(joined.filter(close))
+        # Most candidates fail the native bound, so they are compared before repeated ones are dropped.
+        pairs = pairs.unionByName(joined.filter(close).distinct())
     if params.umi_metric == "levenshtein":
         return pairs
     return pairs.filter(unanchored_distance(src, dst) <= threshold)
@@ -153,24 +190,15 @@ def umi_degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def weak_components(edges: DataFrame) -> DataFrame:
-    """Smallest UMI reachable along edges in either direction: (bc, umi, comp), for UMIs with an edge.
+    """Smallest UMI reachable along edges in either direction: (bc, umi, comp), for UMIs with an edge."""
+    return components(edges.select("bc", "src", "dst"))
+
+
+def mutual_components(edges: DataFrame) -> DataFrame:
+    """(bc, umi, knot): UMIs that reach each other along edges that run both ways, by their smallest member.
 
-    Labels spread along the edges until none changes; the joins are on single UMIs, never on a component.
+    UMIs without such an edge are not listed. ``edges`` must be stored.
     """
-    flipped = edges.select("bc", F.col("dst").alias("src"), F.col("src").alias("dst"))
-    both = store(edges.select("bc", "src", "dst").unionByName(flipped).distinct())
-    labels = store(both.select("bc", F.col("src").alias("umi")).distinct().withColumn("comp", F.col("umi")))
-    while True:
-        seen = (
-            both.join(labels.withColumnRenamed("umi", "dst"), ["bc", "dst"])
-            .groupBy("bc", F.col("src").alias("umi"))
-            .agg(F.min("comp").alias("_near"))
-        )
-        nxt = store(
-            labels.join(seen, ["bc", "umi"]).select(
-                "bc", "umi", F.least("comp", "_near").alias("comp"), (F.col("_near") < F.col("comp")).alias("_moved")
-            )
-        )
-        labels = nxt.drop("_moved")
-        if nxt.filter("_moved").isEmpty():
-            return labels
+    back = edges.select("bc", F.col("src").alias("dst"), F.col("dst").alias("src"))
+    both = edges.select("bc", "src", "dst").join(back, ["bc", "src", "dst"], "left_semi").filter("src < dst")
+    return components(both).withColumnRenamed("comp", "knot")

@@ -144,6 +144,9 @@ dp(id,a,b,i,p) AS (SELECT id, src, dst, 0, list_transform(range(0,length(dst)+1)
   j-k+CASE WHEN k=0 THEN i+1 ELSE least(p[k+1]+1, p[k]+CASE WHEN substr(b,k,1)<>substr(a,i+1,1) THEN 1 ELSE 0 END) END))) FROM dp WHERE i<length(a)),
 edges AS (SELECT ends.bc, ends.src, ends.dst FROM dp JOIN ends USING (id) WHERE i=length(a) AND list_min(p)<=floor(length(a)*CAST(0.2 AS DOUBLE)))"""
 
+# UMIs of 8 to 14 bases.
+_MIXED = """mixed AS (SELECT DISTINCT bc, substr(umi||reverse(umi), 1, 8+(ascii(substr(umi,1,1))+ascii(substr(umi,-1,1)))%7) AS umi FROM pairs)"""
+
 # The collapse as a recursion over one row of lists per cell.
 _COLLAPSE = f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY bc ORDER BY umi) AS pos FROM pairs),
 links AS (SELECT bc, src AS umi, dst FROM edges UNION ALL SELECT bc, umi, umi FROM pairs),
@@ -302,10 +305,13 @@ un AS (SELECT reps.*, row_number() OVER (PARTITION BY chunk_id, bc ORDER BY firs
         "umi_edges_levenshtein": _with(*pairs)
         + f"SELECT x.bc, x.umi AS src, y.umi AS dst FROM pairs x JOIN pairs y ON x.bc=y.bc AND x.umi<>y.umi WHERE levenshtein(x.umi,y.umi)<={lev}",
         "umi_edges_unanchored": _with(*pairs, _EDGE_DP, recursive=True) + "SELECT bc, src, dst FROM edges",
+        "umi_edges_mixed": _with(*pairs, _MIXED, _EDGE_DP.replace("pairs", "mixed"), recursive=True) + "SELECT bc, src, dst FROM edges",
         "umi_degree": _with(*pairs, _EDGE_DP, recursive=True)
         + "SELECT p.bc, p.umi, count(dst)+1 AS degree FROM pairs p LEFT JOIN edges e ON e.bc=p.bc AND e.src=p.umi GROUP BY p.bc, p.umi",
         "collapsed_umis": _with(*pairs, _EDGE_DP, _COLLAPSE, recursive=True)
         + "SELECT bc, umi, n_wt, n_mut, n_amb, call FROM survivors",
+        "collapsed_umis_joins": _with(*pairs, _EDGE_DP, _COLLAPSE, recursive=True)
+        + "SELECT bc, umi, n_wt, n_mut, n_amb, call FROM survivors",
         "collapsed_cells": _with(*pairs, _EDGE_DP, _COLLAPSE, _CELLS, recursive=True) + "SELECT * FROM cells",
         "mutation_fraction": _with(*pairs, _EDGE_DP, _COLLAPSE, _CELLS, recursive=True)
         + "SELECT CASE WHEN wt_calls>0 AND mut_calls>0 THEN 'mixed' WHEN wt_calls>0 THEN 'WT' WHEN mut_calls>0 THEN 'MUT' ELSE 'none' END AS genotype, count(*) AS n_cells FROM (SELECT DISTINCT bc, wt_calls, mut_calls FROM cells) z GROUP BY 1",

@@ -256,6 +256,17 @@ def umi_edges_unanchored(spark, sf_dir):
     return umi_graph.umi_edges(_run(spark, sf_dir).pairs)
 
 
+def mixed_umis(pairs: DataFrame) -> DataFrame:
+    """UMIs of 8 to 14 bases: a UMI and its mirror image, cut at a length that its first and last letters give."""
+    length = F.lit(8) + (F.ascii(F.substring("umi", 1, 1)) + F.ascii(F.substring("umi", -1, 1))) % 7
+    return pairs.select("bc", F.substring(F.concat("umi", F.reverse("umi")), F.lit(1), length).alias("umi")).distinct()
+
+
+def umi_edges_mixed(spark, sf_dir):
+    """UMIs of unlike lengths, all through the joins that large cells take."""
+    return umi_graph.umi_edges(store(mixed_umis(_run(spark, sf_dir).pairs)), max_cell=0)
+
+
 def umi_degree(spark, sf_dir):
     pairs = _run(spark, sf_dir).pairs
     return _plain(umi_graph.umi_degrees(pairs, umi_graph.umi_edges(pairs)))
@@ -265,6 +276,11 @@ def collapsed_umis(spark, sf_dir):
     return _plain(_run(spark, sf_dir).survivors)
 
 
+def collapsed_umis_joins(spark, sf_dir):
+    """The same as large cells and components are collapsed: by joins, a takeover per component and round."""
+    return _plain(umi_collapse.collapse_umis(_run(spark, sf_dir).pairs, PARAMS, max_cell=2, max_component=8))
+
+
 def collapsed_cells(spark, sf_dir):
     return _plain(_run(spark, sf_dir).collapsed)
 
@@ -280,7 +296,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         primed_linear, primed_circ, bad_reads, whitelist_order, whitelist_semi, whitelist_anti, hamming1_candidates,
         hamming_k_join, prior_counts, rescue_posterior, rescue_status, mtx_re, dup_counts, dedup_representative,
         merge_table, merge_table_circ, cell_summary, cell_summary_parts, unpack_explode, chunk_local_pairs, pair_counts, pair_order,
-        concat_cells, concat_cells_parts, chunk_assign, umi_edges_levenshtein, umi_edges_unanchored, umi_degree, collapsed_umis,
-        collapsed_cells, mutation_fraction,
+        concat_cells, concat_cells_parts, chunk_assign, umi_edges_levenshtein, umi_edges_unanchored, umi_edges_mixed, umi_degree,
+        collapsed_umis, collapsed_umis_joins, collapsed_cells, mutation_fraction,
     )
 }
