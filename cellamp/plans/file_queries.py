@@ -13,33 +13,48 @@ from cellamp.operators.ranking import bucketed_rank
 from cellamp.plans import fixture
 from cellamp.plans.queries import CHUNK_TARGET, _plain, _run, _summary_by_chunk
 from cellamp.session import new_path, store
-from cellamp.sources import fastq, sinks, tables
+from cellamp.sources import fastq, ranges, sinks, tables
 from cellamp.sources.text import ORDINAL_BITS
 from cellamp.streaming.combine_stream import combine_stream, combined_pairs
 
 SAMPLE = "sample"
 
 
-def _fastq(spark, sf_dir, **options) -> DataFrame:
+def _fastq(spark, sf_dir, compress: bool = False, **options) -> DataFrame:
     reads = fixture.reads(spark, sf_dir)
     headers = {f"header_r{m}": F.concat(F.lit("@r"), F.col("read_id").cast("string"), F.lit(f"/{m}")) for m in (1, 2)}
     assigned = store(chunks.assign_chunks(reads.withColumns(headers), CHUNK_TARGET))
     folders = [new_path(spark, f"fastq-r{mate}-") for mate in (1, 2)]
     for mate, folder in enumerate(folders, 1):
         sinks.write_fastq_chunks(assigned, folder, mate)
+    if compress:
+        folders = [_compressed(spark, folder) for folder in folders]
     place = F.col("read_id").bitwiseAND((1 << ORDINAL_BITS) - 1).alias("place")
     fields = [f"{c}_r{m}" for m in (1, 2) for c in ("header", "seq", "qual")]
     return _plain(fastq.read_fastq_chunks(spark, *folders, **options).select("chunk_id", place, *fields))
 
 
+def _compressed(spark, folder: str) -> str:
+    """Block-compressed copies of a folder's chunks."""
+    target = new_path(spark, "fastq-gz-")
+    files = fastq.chunk_files(spark, folder)
+    ranges.compress_blocks(spark, list(files.values()), [f"{target}/chunk_id={c}/block={b}/reads.fastq.gz" for c, b in files])
+    return target
+
+
 def fastq_lockstep(spark, sf_dir):
     """Chunks of reads as FASTQ, the mates of a file read in lockstep."""
     return _fastq(spark, sf_dir)
 
 
 def fastq_blocks(spark, sf_dir):
-    """The same files, read in blocks and joined on the record number."""
-    return _fastq(spark, sf_dir, split_bytes=0)
+    """The same files by byte ranges, both mates in one task."""
+    return _fastq(spark, sf_dir, split_bytes=1 << 18)
+
+
+def fastq_block_gzip(spark, sf_dir):
+    """The same files block-compressed, several tasks per file."""
+    return _fastq(spark, sf_dir, compress=True, split_bytes=1 << 16)
 
 
 def _looked(spark, sf_dir, config: RegionConfig) -> DataFrame:
@@ -130,7 +145,7 @@ def chunk_table_stream(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        fastq_lockstep, fastq_blocks, looked_file_linear, looked_file_circ, whitelist_file, changed_file, merge_file,
+        fastq_lockstep, fastq_blocks, fastq_block_gzip, looked_file_linear, looked_file_circ, whitelist_file, changed_file, merge_file,
         cells_file, chunk_table_files, chunk_table_stream,
     )
 }

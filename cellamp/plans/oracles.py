@@ -288,6 +288,7 @@ un AS (SELECT reps.*, row_number() OVER (PARTITION BY chunk_id, bc ORDER BY firs
         "chunk_table_stream": chunk_pairs,
         "fastq_lockstep": fastq,
         "fastq_blocks": fastq,
+        "fastq_block_gzip": fastq,
         "looked_file_linear": _looked_file(LINEAR),
         "looked_file_circ": _looked_file(CIRC),
         "whitelist_file": _with(WL) + "SELECT bc, wl_idx FROM wl",

@@ -1,16 +1,19 @@
-"""FASTQ read pairs as a Spark data source, and as splittable text.
+"""FASTQ read pairs as a Spark data source, by byte ranges, and as splittable text.
 
-``format("fastq_pair")`` reads the two mates of a file in lockstep, one task per pair of files; a gzip file
-cannot be split anyway. Large uncompressed files, and files on other file systems, go through
-:func:`split_fastq_pairs`, which reads them in blocks and joins the mates on their place in the file.
+``format("fastq_pair")`` reads the two mates of a file in lockstep, one task per pair of files; plain gzip cannot be split. Large files that
+are not compressed, or block-compressed, are read by byte ranges (:mod:`cellamp.sources.ranges`). Files on file systems that only Spark can
+open go through :func:`split_fastq_pairs`, which reads them in blocks and joins the mates on their place in the file.
 """
 
 from __future__ import annotations
 
 import gzip
+import io
 import itertools
+import json
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import pyarrow as pa
@@ -18,18 +21,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from cellamp.sources.text import ORDINAL_BITS, file_size, indexed_lines
+from cellamp.sources.ranges import RANGE_BYTES, READ_SCHEMA, kind_of, locate, read_ranges
+from cellamp.sources.text import ORDINAL_BITS, file_size, indexed_lines, qualified
 
-READ_SCHEMA = (
-    "read_id bigint, file_id int, header_r1 string, seq_r1 string, qual_r1 string, "
-    "header_r2 string, seq_r2 string, qual_r2 string"
-)
 _BATCH = 20_000
 
 
+@contextmanager
 def _open(path: str):
-    path = re.sub("^file:(//)?(?=/)", "", path)
-    return gzip.open(path, "rt") if path.lower().endswith(".gz") else open(path)
+    system, name = locate(path)
+    with system.open_input_file(name) as file:
+        yield io.TextIOWrapper(gzip.GzipFile(fileobj=file) if path.lower().endswith(".gz") else file, "utf-8")
 
 
 def _records(path: str) -> Iterator[tuple[str, str, str]]:
@@ -44,6 +46,11 @@ def _records(path: str) -> Iterator[tuple[str, str, str]]:
             yield head[0], head[1], head[3]
 
 
+def _listed(value: str) -> list[str]:
+    """Paths of an option: a JSON list, or one path."""
+    return json.loads(value) if value.startswith('["') else [value] if value else []
+
+
 class _FilePair(InputPartition):
     def __init__(self, file_id: int, r1: str, r2: str):
         self.file_id, self.r1, self.r2 = file_id, r1, r2
@@ -51,8 +58,8 @@ class _FilePair(InputPartition):
 
 class FastqPairReader(DataSourceReader):
     def __init__(self, options: dict):
-        first, second = options.get("r1", "").split(","), options.get("r2", "").split(",")
-        if not options.get("r1") or len(first) != len(second):
+        first, second = _listed(options.get("r1", "")), _listed(options.get("r2", ""))
+        if not first or len(first) != len(second):
             raise ValueError("options r1 and r2 must list the same number of files")
         self.truncate = options.get("unequal", "error") == "truncate"
         ids = options.get("file_ids")
@@ -76,7 +83,7 @@ class FastqPairReader(DataSourceReader):
 
 
 class FastqPairSource(DataSource):
-    """Options ``r1`` and ``r2``: comma-separated files of equal number, on a file system every executor mounts.
+    """Options ``r1`` and ``r2``: a path each, or JSON lists of equal length, on a file system that every executor can open.
 
     ``unequal``: ``error`` or ``truncate``. ``file_ids``: numbers of the pairs, by default 0, 1, ...
     """
@@ -97,25 +104,23 @@ def read_fastq_pairs(
 ) -> DataFrame:
     """Read pairs of FASTQ files, plain or gzip; ``read_id`` orders the reads by pair and place.
 
-    Uncompressed files larger than ``split_bytes`` are read in blocks, so that one large file does not
-    become one large task. When gzip files are few or one of them holds much more than its share, their
-    reads are spread over the cluster as soon as they are decompressed.
+    Files larger than ``split_bytes`` that are not compressed, or block-compressed, are read by byte ranges, so that one large file does not
+    become one large task. When plain gzip files are few or one of them holds much more than its share, their reads are spread over the
+    cluster as soon as they are decompressed.
     """
     if not r1 or len(r1) != len(r2):
         raise ValueError("r1 and r2 must list the same number of files")
+    r1, r2 = [qualified(spark, p) for p in r1], [qualified(spark, p) for p in r2]
     sizes = [file_size(spark, a) + file_size(spark, b) for a, b in zip(r1, r2)]
-
-    def in_blocks(i: int) -> bool:
-        remote = "://" in r1[i].removeprefix("file://") or "://" in r2[i].removeprefix("file://")
-        return remote or (sizes[i] > split_bytes and not (r1[i] + r2[i]).lower().endswith(".gz"))
-
-    split = [i for i in range(len(r1)) if in_blocks(i)]
-    whole = [i for i in range(len(r1)) if not in_blocks(i)]
+    kinds = [(kind_of(a), kind_of(b)) for a, b in zip(r1, r2)]
+    text = [i for i, k in enumerate(kinds) if None in k]
+    cut = [i for i, k in enumerate(kinds) if None not in k and "gzip" not in k and sizes[i] > split_bytes]
+    whole = [i for i in range(len(r1)) if i not in {*text, *cut}]
     parts = []
     if whole:
         spark.dataSource.register(FastqPairSource)
         options = {
-            "r1": ",".join(r1[i] for i in whole), "r2": ",".join(r2[i] for i in whole),
+            "r1": json.dumps([r1[i] for i in whole]), "r2": json.dumps([r2[i] for i in whole]),
             "file_ids": ",".join(map(str, whole)), "unequal": unequal,
         }
         reads = spark.read.format("fastq_pair").options(**options).load()
@@ -125,14 +130,17 @@ def read_fastq_pairs(
         if largest > split_bytes and uneven:
             reads = reads.repartition(max(cores, total // (32 << 20)), "read_id")
         parts.append(reads)
-    if split:
-        parts.append(split_fastq_pairs(spark, [r1[i] for i in split], [r2[i] for i in split], split, unequal))
+    if cut:
+        files = [(i, r1[i], kinds[i][0], r2[i], kinds[i][1]) for i in cut]
+        parts.append(read_ranges(spark, files, unequal, max(1 << 12, min(RANGE_BYTES, split_bytes or RANGE_BYTES))))
+    if text:
+        parts.append(split_fastq_pairs(spark, [r1[i] for i in text], [r2[i] for i in text], text, unequal))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _chunk_files(spark: SparkSession, folder: str) -> dict[tuple[int, int], str]:
+def chunk_files(spark: SparkSession, folder: str) -> dict[tuple[int, int], str]:
     """Chunk and block to the file that holds them."""
-    files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/chunk_id=*/block=*/*.txt").select("path")
+    files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/chunk_id=*/block=*/*.{{txt,gz}}").select("path")
     found = [(re.search(r"chunk_id=(-?\d+)/block=(-?\d+)/", row.path), row.path) for row in files.collect()]
     return {(int(m[1]), int(m[2])): path for m, path in found}
 
@@ -142,7 +150,7 @@ def read_fastq_chunks(spark: SparkSession, r1: str, r2: str, unequal: str = "err
 
     ``file_id`` numbers the files by chunk and block.
     """
-    first, second = _chunk_files(spark, r1), _chunk_files(spark, r2)
+    first, second = chunk_files(spark, r1), chunk_files(spark, r2)
     if first.keys() != second.keys():
         raise ValueError(f"{r1} and {r2} hold different chunks")
     places = sorted(first)

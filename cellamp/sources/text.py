@@ -18,6 +18,12 @@ def _status(spark: SparkSession, path: str):
     return name.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(name)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system; without one, it is on the default file system."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(name).toString()
+
+
 def file_size(spark: SparkSession, path: str) -> int:
     return _status(spark, path).getLen()
 

@@ -11,7 +11,7 @@ from cellamp.config import Params
 from cellamp.operators import cells, chunks, combine, dedup, regions, rescue
 from cellamp.plans import fixture, queries
 from cellamp.session import store
-from cellamp.sources import fastq, sinks, tables
+from cellamp.sources import fastq, ranges, sinks, tables
 from cellamp.streaming.combine_stream import combine_stream, combined_pairs
 
 
@@ -98,6 +98,44 @@ def test_ends_of_files(spark, rows, tmp_path, split_bytes, unequal):
         read(short, short)
 
 
+@pytest.mark.parametrize("step", [90, 1000, 1 << 20])
+@pytest.mark.parametrize("zipped", [(False, False), (True, True), (False, True)])
+def test_ranges_of_bytes(spark, rows, tmp_path, step, zipped, monkeypatch):
+    """Any cut of the files gives the same reads, also inside members, with empty fields, Windows line ends and no last line end."""
+    odd = [(f"@r{r.read_id}", r.seq_r1, r.qual_r1) for r in rows[:60]] + [("", "", ""), ("@é 漢", "ACGT", "FFFF"), ("@x", "A" * 500, "F" * 500)]
+    paths = []
+    for mate in (1, 2):
+        text = "".join(f"{h}/{mate}\r\n{s}\n+\n{q}\n" for h, s, q in odd)[: -1 if mate == 1 else None]
+        path = tmp_path / f"a,b {mate}.fastq"
+        path.write_bytes(text.encode())
+        paths.append(str(path))
+    want = _plain(fastq.read_fastq_pairs(spark, [paths[0]], [paths[1]]))
+    assert len(want) == 63
+    monkeypatch.setattr(ranges, "_MEMBER_TEXT", 300)
+    for mate, z in enumerate(zipped):
+        if z:
+            target = f"{tmp_path}/z,{mate}.fastq.gz"
+            ranges.compress_blocks(spark, [paths[mate]], [target])
+            assert ranges.kind_of(target) == "block" and gzip.open(target).read() == open(paths[mate], "rb").read()
+            paths[mate] = target
+    files = [(4, paths[0], ranges.kind_of(paths[0]), paths[1], ranges.kind_of(paths[1]))]
+    got = ranges.read_ranges(spark, files, step=step)
+    assert _plain(got) == want and sorted(r.read_id for r in got.collect()) == [(4 << 40) + k for k in range(63)]
+    # Nothing is moved after the texts are read.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Exchange")
+
+
+def test_empty_files_and_plain_gzip(spark, rows, tmp_path):
+    empty = [tmp_path / f"{m}.fastq" for m in (1, 2)]
+    for path in empty:
+        path.write_text("")
+    files = [(0, str(empty[0]), "plain", str(empty[1]), "plain")]
+    assert ranges.read_ranges(spark, files).count() == 0
+    zipped = _fastq(tmp_path / "1.fastq.gz", rows[:5], 1, True)
+    assert ranges.kind_of(zipped) == "gzip" and ranges.kind_of("nowhere://x/y") is None and ranges.kind_of(str(tmp_path / "none")) is None
+
+
 def test_large_gzip_files_are_spread(spark, rows, tmp_path):
     r1, r2 = _fastq(tmp_path / "1.fastq.gz", rows, 1, True), _fastq(tmp_path / "2.fastq.gz", rows, 2, True)
     spread = fastq.read_fastq_pairs(spark, [r1], [r2], split_bytes=10)
