@@ -138,8 +138,8 @@ def chunk_table_stream(spark, sf_dir):
     """The same tables as a stream of files."""
     folder, paths, params = _chunk_folder(spark, sf_dir)
     sums, state = new_path(spark, "sums-"), new_path(spark, "state-")
-    combine_stream(spark, folder, sums, state, tables.table_header(spark, paths[0]), f"{SAMPLE}.summTable.txt").awaitTermination()
-    return _plain(combined_pairs(spark, sums, params))
+    combine_stream(spark, folder, sums, state, tables.table_header(spark, paths[0])).awaitTermination()
+    return _plain(combined_pairs(spark, sums, params, SAMPLE))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -70,28 +70,31 @@ def with_error_sums(looked: DataFrame, config: RegionConfig) -> DataFrame:
     return looked.select(*keep, F.lit(1).alias("r2_len"), (F.col("avg_err_r2") * 1e5).alias("err_r2"), *sums)
 
 
-def chunk_table_paths(spark: SparkSession, outdir: str, sample: str) -> list[str]:
-    """Chunk tables below ``outdir``: per four-digit folder ``<sample>.summTable.txt`` when not empty, else the
-    only other ``*.summTable.txt`` that is not a combined one, when not empty."""
-    files = (
+def one_table_per_folder(files: DataFrame, sample: str | None) -> DataFrame:
+    """Of files (folder, name, length): per folder ``<sample>.summTable.txt`` when not empty, else the only other table that
+    is not a combined one, when not empty."""
+    per_folder = W.partitionBy("folder")
+    usable = (F.col("name") == F.lit(f"{sample}.summTable.txt")) & F.lit(sample is not None) & (F.col("length") > 0)
+    other = ~F.col("name").contains(".concat")
+    ranked = files.withColumn("_preferred", F.max(usable).over(per_folder)).withColumn("_others", F.count_if(other).over(per_folder))
+    chosen = (F.col("_preferred") & usable) | (~F.col("_preferred") & other & (F.col("_others") == 1) & (F.col("length") > 0))
+    return ranked.filter(chosen).drop("_preferred", "_others")
+
+
+def chunk_table_files(spark: SparkSession, outdir: str) -> DataFrame:
+    """(path, folder, name, length) of all tables in the four-digit folders below ``outdir``; no content is read."""
+    return (
         spark.read.format("binaryFile")
         .load(f"{outdir.rstrip('/')}/[0-9][0-9][0-9][0-9]/*.summTable.txt")
         .select("path", "length")
         .withColumn("name", F.element_at(F.split("path", "/"), -1))
-        .withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
-        .withColumn("preferred", F.col("name") == f"{sample}.summTable.txt")
+        .withColumn("folder", F.element_at(F.split("path", "/"), -2))
     )
-    per_folder = W.partitionBy("folder")
-    usable = F.col("preferred") & (F.col("length") > 0)
-    other = ~F.col("name").contains(".concat")
-    ranked = files.withColumn("has_preferred", F.max(usable).over(per_folder)).withColumn(
-        "others", F.count_if(other).over(per_folder)
-    )
-    chosen = ranked.filter(
-        (F.col("has_preferred") & usable)
-        | (~F.col("has_preferred") & other & (F.col("others") == 1) & (F.col("length") > 0))
-    )
-    return sorted(r.path for r in chosen.select("path").collect())
+
+
+def chunk_table_paths(spark: SparkSession, outdir: str, sample: str) -> list[str]:
+    """Chunk tables below ``outdir``, one per folder."""
+    return sorted(r.path for r in one_table_per_folder(chunk_table_files(spark, outdir), sample).select("path").collect())
 
 
 def table_header(spark: SparkSession, path: str) -> list[str]:

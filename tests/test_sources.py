@@ -12,7 +12,7 @@ from cellamp.operators import cells, chunks, combine, dedup, regions, rescue
 from cellamp.plans import fixture, queries
 from cellamp.session import store
 from cellamp.sources import fastq, ranges, sinks, tables
-from cellamp.streaming.combine_stream import combine_stream, combined_pairs
+from cellamp.streaming.combine_stream import _numbers, combine_stream, combined_pairs
 
 
 @pytest.fixture(scope="module")
@@ -221,6 +221,43 @@ def test_chunk_tables_and_stream(spark, run, sf_dir, tmp_path):
         assert streamed.select(names).exceptAll(direct.select(names)).isEmpty() and streamed.count() == direct.count()
 
 
+def test_late_tables_are_chosen_as_the_batch_way_does(spark, tmp_path):
+    """Several tables in a folder, late and empty ones, and compacted batches."""
+    header = [*tables.CHUNK_COLUMNS]
+    root = tmp_path / "chunks"
+
+    def put(name, count):
+        path = root / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        row = {"BC": "AC;GT", "UMI": "U;V", "num.WT.in.dups": f"{count};1", "num.MUT.in.dups": "0;2", "num.amb.in.dups": "0;0"}
+        path.write_text("\t".join(header) + "\n" + "\t".join(row.get(c, "WT;WT") for c in header) + "\n" if count else "")
+
+    def both(sample, compact):
+        combine_stream(spark, str(root), f"{tmp_path}/sums", f"{tmp_path}/state", header, compact=compact).awaitTermination()
+        paths = tables.chunk_table_paths(spark, str(root), sample)
+        batch = combine.sum_pairs(combine.unpack(tables.read_chunk_tables(spark, paths), tables.ROW_ORDER))
+        names = ["bc", "umi", "n_wt", "n_mut", "n_amb", "call"]
+        got = combined_pairs(spark, f"{tmp_path}/sums", sample=sample, folder=str(root))
+        assert sorted(got.select(names).collect()) == sorted(batch.select(names).collect())
+        return {r.umi: r.n_wt for r in got.collect()}
+
+    put("0000/s.summTable.txt", 5)
+    put("0000/other.summTable.txt", 7)
+    put("0001/other.summTable.txt", 100)
+    put("0001/x.concat.summTable.txt", 9)
+    assert both("s", 2)["U"] == 105
+    put("0001/s.summTable.txt", 1000)
+    put("0002/one.summTable.txt", 20)
+    put("0002/two.summTable.txt", 30)
+    assert both("s", 2)["U"] == 1005
+    put("0002/s.summTable.txt", 4)
+    put("0003/a.summTable.txt", 6)
+    put("0003/b.summTable.txt", 0)
+    assert both("s", 2)["U"] == 1009
+    assert both("two", 2)["U"] == 30
+    assert _numbers(spark, f"{tmp_path}/sums", "upto") == [1]
+
+
 def test_chunk_discovery(spark, tmp_path):
     def put(name, text="x"):
         path = tmp_path / name
