@@ -82,14 +82,11 @@ def one_table_per_folder(files: DataFrame, sample: str | None) -> DataFrame:
 
 
 def chunk_table_files(spark: SparkSession, outdir: str) -> DataFrame:
-    """(path, folder, name, length) of all tables in the four-digit folders below ``outdir``; no content is read."""
-    return (
-        spark.read.format("binaryFile")
-        .load(f"{outdir.rstrip('/')}/[0-9][0-9][0-9][0-9]/*.summTable.txt")
-        .select("path", "length")
-        .withColumn("name", F.element_at(F.split("path", "/"), -1))
-        .withColumn("folder", F.element_at(F.split("path", "/"), -2))
-    )
+    """(path, folder, name, length) of all tables in the four-digit folders below ``outdir``, empty files included; no content is read."""
+    tables = spark._jvm.org.apache.hadoop.fs.Path(f"{outdir.rstrip('/')}/[0-9][0-9][0-9][0-9]/*.summTable.txt")
+    found = tables.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(tables) or []
+    rows = [(f.getPath().toString(), f.getPath().getParent().getName(), f.getPath().getName(), f.getLen()) for f in found]
+    return spark.createDataFrame(rows, "path string, folder string, name string, length bigint")
 
 
 def chunk_table_paths(spark: SparkSession, outdir: str, sample: str) -> list[str]:
