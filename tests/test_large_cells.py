@@ -1,5 +1,6 @@
 """Joins and rounds that large cells take: candidates per UMI, hot keys, rounds on long chains."""
 
+import hashlib
 import math
 import random
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellamp.config import Params
-from cellamp.operators import components, umi_collapse, umi_graph
+from cellamp.operators import chunks, components, umi_collapse, umi_graph
 from cellamp.session import store
 from tests import brute
 
@@ -101,3 +102,17 @@ def test_frontiers_along_one_way_edges(spark):
     reached = umi_collapse._reached(keepers, edges, umi_graph.mutual_components(edges))
     assert sorted(r.umi for r in reached.collect()) == sorted([*names, "leaf0", "leaf1", "leaf2"])
     assert reached.groupBy("umi").count().filter(F.col("count") > 1).isEmpty()
+
+
+@pytest.mark.parametrize("target,buckets", [(7, 1), (100, 16), (1000, 16), (5000, 16), (1, 4)])
+def test_chunks_without_moving_reads(spark, monkeypatch, target, buckets):
+    """Chunks are runs of the seeded order, also where several end in one bucket; reads are joined where they are."""
+    monkeypatch.setattr(chunks, "BUCKETS", buckets)
+    reads = spark.createDataFrame([(k * 3, "ACGT") for k in range(2003)], "read_id bigint, seq_r1 string").repartition(3)
+    got = chunks.assign_chunks(reads, target, seed=4)
+    assert got.columns == ["read_id", "seq_r1", "chunk_id"]
+    order = sorted((hashlib.md5(f"4_{k * 3}".encode()).hexdigest(), k * 3) for k in range(2003))
+    size = chunks.chunk_reads(2003, target)
+    assert {r.read_id: r.chunk_id for r in got.collect()} == {k: n // size for n, (_, k) in enumerate(order)}
+    plan = store(reads).transform(lambda stored: chunks.assign_chunks(stored, target))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Exchange SinglePartition" not in plan
