@@ -26,7 +26,7 @@ def duck(sf_dir):
 
 
 def same(result, relation):
-    types = {c[0]: TYPES[str(c[1])] for c in relation.description}
+    types = {c[0]: (TYPES | {"INTEGER": "int"})[str(c[1])] for c in relation.description}
     assert {f.name: f.dataType.simpleString() for f in result.schema} == types
     names = [c[0] for c in relation.description]
     assert sorted(map(str, result.select(*names).collect())) == sorted(
