@@ -74,6 +74,14 @@ def _scan_errors(qual: pa.Array, shift: np.ndarray, config: RegionConfig) -> dic
     return out
 
 
+def _score_sums(qual: pa.Array) -> pa.Array:
+    table = np.zeros(256, np.int64)
+    table[OFFSET : OFFSET + len(P_ERR_1E5)] = np.arange(len(P_ERR_1E5))
+    data, offsets = _bytes_and_offsets(qual)
+    running = np.concatenate([[0], np.cumsum(table[data])])
+    return pa.array(running[offsets[1:]] - running[offsets[:-1]], mask=np.asarray(qual.is_null()))
+
+
 def mismatch_fields(config: RegionConfig) -> list[str]:
     return [f"mm_{r.name}" for r in config.regions]
 
@@ -94,17 +102,19 @@ def scan_mismatches(seq: Column, config: RegionConfig, params: Params) -> Column
     return region_mismatches.asNondeterministic()(seq)
 
 
-def scan_reads(seq: Column, qual: Column, config: RegionConfig, params: Params) -> Column:
-    """As :func:`scan_mismatches`, and the summed error of the read and of every region (bigint, 1e-5 units).
+def scan_reads(seq: Column, qual: Column, bc_qual: Column, config: RegionConfig, params: Params) -> Column:
+    """As :func:`scan_mismatches`, the summed error of the read and of every region (bigint, 1e-5 units), and the barcode's summed score.
 
     The primer sum covers the first bases of the read, whatever the shift and the primer's start.
     """
     ints, longs = ["shift"] + mismatch_fields(config), error_fields(config)
 
-    @F.arrow_udf(", ".join([f"{n} int" for n in ints] + [f"{n} bigint" for n in longs]))
-    def region_scan(seq: pa.Array, qual: pa.Array) -> pa.Array:
+    @F.arrow_udf(", ".join([f"{n} int" for n in ints] + [f"{n} bigint" for n in longs] + ["bc_q_sum bigint"]))
+    def region_scan(seq: pa.Array, qual: pa.Array, bc_qual: pa.Array) -> pa.Array:
         found = _scan_mismatches(seq, config, params)
         found.update(_scan_errors(qual, found["shift"].astype(np.int64), config))
-        return pa.StructArray.from_arrays([pa.array(found[n]) for n in ints + longs], ints + longs)
+        found["bc_q_sum"] = _score_sums(bc_qual)
+        names = [*ints, *longs, "bc_q_sum"]
+        return pa.StructArray.from_arrays([pa.array(found[n]) for n in names], names)
 
-    return region_scan.asNondeterministic()(seq, qual)
+    return region_scan.asNondeterministic()(seq, qual, bc_qual)

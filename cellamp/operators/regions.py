@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellamp.config import Params, RegionConfig
-from cellamp.functions.phred import ERR_SCALE, error_sum, error_units, packed_scores
+from cellamp.functions.phred import ERR_SCALE, error_sum, error_units, packed_scores, score_sum
 from cellamp.functions.region_scan import error_fields, mismatch_fields, scan_mismatches, scan_reads
 from cellamp.operators.reads import cut_fields
 
@@ -28,7 +28,7 @@ def looked(reads: DataFrame, config: RegionConfig, params: Params = Params()) ->
     A read is bad when it is empty or when its whole or shared-region error sum is zero.
     """
     fields = cut_fields(reads, params)
-    scan = scan_reads(F.col("seq_r2"), F.col("qual_r2"), config, params)
+    scan = scan_reads(F.col("seq_r2"), F.col("qual_r2"), F.col("bc_qual"), config, params)
     kept = ["read_id", *params.chunk_cols, "bc", "bc_qual", "umi"]
     scored = fields.select(*kept, F.length("seq_r2").alias("r2_len"), scan.alias("scan")).select(
         *kept, "r2_len", "scan.*"
@@ -125,4 +125,5 @@ def looked_native(reads: DataFrame, config: RegionConfig, params: Params = Param
         error_sum(F.col("qual_r2")).alias("err_r2"),
         window(F.lit(1), len(primer.seq)).alias("err_primer"),
         *[window(shift + r.start, r.end - r.start + 1).alias(f"err_{r.name}") for r in rest],
+        score_sum(F.col("bc_qual")).cast("bigint").alias("bc_q_sum"),
     )

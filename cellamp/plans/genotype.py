@@ -51,13 +51,18 @@ class GenotypeRun:
     def corrected(self) -> DataFrame:
         return rescue.corrected_reads(self.primed, self.stored_whitelist, self.params)
 
+    @cached_property
+    def winners(self) -> DataFrame:
+        """Representative reads without their barcode qualities, which only the table of reads needs."""
+        return dedup.group_winners(self.corrected, self.config, self.params)
+
     @cached_property
     def representatives(self) -> DataFrame:
         return dedup.representatives(self.corrected, self.config, self.params)
 
     @cached_property
     def merged(self) -> DataFrame:
-        return store(dedup.merge_table(self.representatives, self.config, self.params))
+        return store(dedup.merge_table(self.winners, self.config, self.params))
 
     @cached_property
     def cell_summary(self) -> DataFrame:

@@ -167,12 +167,12 @@ def _first_seen(df: DataFrame, name: str = "first_seen") -> DataFrame:
 
 def merge_table(spark, sf_dir):
     run = _run(spark, sf_dir)
-    return _plain(_first_seen(dedup.merge_table(run.representatives, fixture.LINEAR)))
+    return _plain(_first_seen(dedup.merge_table(run.winners, fixture.LINEAR)))
 
 
 def merge_table_circ(spark, sf_dir):
     run = _run(spark, sf_dir, fixture.CIRC)
-    return _plain(_first_seen(dedup.merge_table(run.representatives, fixture.CIRC)))
+    return _plain(_first_seen(dedup.merge_table(run.winners, fixture.CIRC)))
 
 
 def cell_summary(spark, sf_dir):
