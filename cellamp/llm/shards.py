@@ -6,7 +6,7 @@ bits beyond what an even split needs); cells that are still too large are counte
 
 A row that exceeds the limit by itself gets a shard of its own. Rows that agree on all bits (rows with one key, such as repeated
 rows or rows without a key) cannot be told apart by bits; if they exceed the limit, they are dealt into numbered shards by a running
-byte count. Null texts have no bytes, a null key is a key of its own, and an empty table has no shards.
+byte count, in an order that follows from their contents, so reruns and rows read again after a lost executor agree. Null texts have no bytes, a null key is a key of its own, and an empty table has no shards.
 """
 
 from __future__ import annotations
@@ -113,16 +113,36 @@ def assign_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", limi
     return placed.drop("_hash", "_cell", "_depth")
 
 
+def _numbered(crowd: DataFrame) -> DataFrame:
+    """Append ``_digest`` of a row's whole content and ``_rank`` among the rows of one key that are equal in all.
+
+    Equal rows are counted by task and numbered within it, so thousands of copies never come to one task.
+    """
+    content = F.struct(*[F.col(f"`{c}`") for c in crowd.columns if c not in ("_hash", "_cell", "_depth")]).cast("string")
+    stored = store(crowd.withColumn("_digest", F.md5(content.cast("binary"))).withColumn("_task", F.spark_partition_id()))
+    same = ["_hash", "_digest"]
+    counts = stored.groupBy(*same, "_task").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.partitionBy(*same).orderBy("_task").rowsBetween(W.unboundedPreceding, -1))
+    offsets = counts.select(*same, "_task", F.coalesce(before, F.lit(0)).alias("_before"))
+    within = F.row_number().over(W.partitionBy(*same, "_task").orderBy("n_bytes"))
+    return stored.withColumn("_within", within).join(offsets, [*same, "_task"]).withColumn(
+        "_rank", F.col("_before") + F.col("_within")
+    ).drop("_task", "_before", "_within")
+
+
 def _deal(placed: DataFrame, crowded: DataFrame, rows: DataFrame, limit: int) -> DataFrame:
-    """Shards for rows that share all bits: large rows alone, the others by half the limit, so that none exceeds it."""
+    """Shards for rows that share all bits: large rows alone, the others by half the limit, so that none exceeds it.
+
+    Where a row goes follows from its content and its number among equal rows, whatever task it was read in.
+    """
     sizes = rows.join(crowded.select(F.col("cell").alias("hash")), "hash").groupBy("hash").agg(F.sum("bytes").alias("_total"))
     groups = F.greatest(F.lit(1), F.floor(F.col("_total") / (limit * GROUP))).cast("bigint")
-    keyed = placed.join(store(sizes).withColumnRenamed("hash", "_hash"), "_hash").withColumn(
-        "_group", F.pmod(F.monotonically_increasing_id(), groups)
+    keyed = _numbered(placed).join(store(sizes).withColumnRenamed("hash", "_hash"), "_hash").withColumn(
+        "_group", F.pmod(F.xxhash64("_digest", "_rank"), groups)
     )
     large = F.col("n_bytes") * 2 > limit
-    own = W.partitionBy("_hash", "_group", large).orderBy("n_bytes")
+    own = W.partitionBy("_hash", "_group", large).orderBy("n_bytes", "_digest", "_rank")
     running = F.sum("n_bytes").over(own.rowsBetween(W.unboundedPreceding, -1))
     place = F.when(large, F.row_number().over(own)).otherwise(F.floor(F.coalesce(running, F.lit(0)) * 2 / limit))
     name = F.concat_ws("-", "shard", F.col("_group").cast("string"), F.when(large, "L").otherwise("S"), place.cast("string"))
-    return keyed.withColumn("shard", name).drop("_total", "_group")
+    return keyed.withColumn("shard", name).drop("_total", "_group", "_digest", "_rank")
