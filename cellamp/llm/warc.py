@@ -30,6 +30,8 @@ from cellamp.session import shared_dir, store
 
 # The format's version line, line ends, and the end of a record.
 VERSION = "WARC/1.1\r\n"
+MARK = "WARC/1."
+VERSIONS = ("0\r\n", "1\r\n")
 BREAK = "\r\n"
 END = "\r\n\r\n"
 REVISIT_BYTES = 1000
@@ -107,7 +109,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     ``start`` counts bytes from the first piece of the stretch; ``next`` is where the successor would start, null where the piece has no
     complete header.
     """
-    lines = spark.read.option("lineSep", VERSION).text(path)
+    lines = spark.read.option("lineSep", MARK).text(path)
     cut = lines.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("stretch"), F.col("value").alias("piece")
     )
@@ -121,18 +123,20 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
             for file, stretch, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sizes, strict=True):
                 if (file, stretch) != here:
                     # The first piece of a file is what precedes the first version line.
-                    here, at = (file, stretch), -len(VERSION) if stretch == 0 else 0
+                    here, at = (file, stretch), -len(MARK) if stretch == 0 else 0
                 starts.append(at)
-                at += len(VERSION) + size
+                at += len(MARK) + size
             yield pa.record_batch([*batch.columns, pa.array(starts, pa.int64())], ["file", "stretch", "piece", "start"])
 
     placed = cut.mapInArrow(place, "file string, stretch bigint, piece string, start bigint")
-    header = F.when(F.instr("piece", END) > 0, F.substring_index("piece", END, 1))
+    # A piece begins with the rest of its version line, which counts as a part of the header.
+    versioned = F.substring("piece", 1, 3).isin(*VERSIONS) & (F.instr("piece", END) > 0)
+    header = F.when(versioned, F.substring_index("piece", END, 1))
     length = F.regexp_extract(F.concat(F.lit(BREAK), header), r"(?i)\r\nContent-Length: *([0-9]{1,15})(?:\r|$)", 1)
     head_bytes = F.octet_length(header) + len(END)
     return placed.withColumn("header", header).withColumn("head_bytes", head_bytes.cast("bigint")).withColumn(
         "length", F.when(length != "", length.cast("bigint"))
-    ).withColumn("next", F.col("start") + len(VERSION) + F.col("head_bytes") + F.col("length") + len(END))
+    ).withColumn("next", F.col("start") + len(MARK) + F.col("head_bytes") + F.col("length") + len(END))
 
 
 def _field(name: str, pattern: str = r"([^\r]*)") -> Column:
@@ -217,13 +221,16 @@ def reachable(links: DataFrame) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives in a folder, with the columns FIELDS.
+    """One row per record of the archives in a folder, with the columns FIELDS. A file that starts with no record is an error.
 
     Payloads are measured where they are read; from then on only places and fields move.
     """
     pieces = candidates(spark, path)
     parts = store(parsed(pieces).select("file", "stretch", "start", "size", "next", "complete", *FIELDS))
-    spans = parts.groupBy("file", "stretch").agg(F.max(F.col("start") + len(VERSION) + F.col("size")).alias("span"))
+    foreign = parts.filter("stretch = 0 and ((start < 0 and size > 0) or (start = 0 and next is null))").select("file").first()
+    if foreign:
+        raise ValueError(f"{foreign.file} does not start with a record of a known version")
+    spans = parts.groupBy("file", "stretch").agg(F.max(F.col("start") + len(MARK) + F.col("size")).alias("span"))
     before = F.sum("span").over(W.partitionBy("file").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1))
     bases = store(spans.withColumn("base", F.coalesce(before, F.lit(0))))  # one row per stretch
     links = store(
@@ -257,7 +264,7 @@ def _mended(pieces: DataFrame, links: DataFrame, torn: DataFrame) -> DataFrame:
     # What is collected is the text of one record. This scan must have cut the files where the first one did.
     lost = F.raise_error(F.lit("the pieces of the archives differ between two scans")).cast("string")
     wanted = held.groupBy("file", "head").agg(F.count("*").alias("n")).join(texts, ["file", "head"], "left")
-    whole = F.when(F.size("all") == F.col("n"), F.array_join(F.transform("all", lambda p: p["piece"]), VERSION)).otherwise(lost)
+    whole = F.when(F.size("all") == F.col("n"), F.array_join(F.transform("all", lambda p: p["piece"]), MARK)).otherwise(lost)
     joined = wanted.select("file", whole.alias("piece"))
     header = F.substring_index("piece", END, 1)
     again = joined.withColumn("header", header).withColumn("head_bytes", (F.octet_length("header") + len(END)).cast("bigint"))
