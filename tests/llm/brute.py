@@ -54,6 +54,17 @@ def edited(texts):
     return out
 
 
+def shingles(text, words=5):
+    listed = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    return {tuple(listed[k : k + words]) for k in range(max(1, len(listed) - words + 1))} if listed else set()
+
+
+def likeness(a, b):
+    """Share of the smaller shingle set that the other one has."""
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / min(len(a), len(b)) if a and b else float(a == b)
+
+
 def sha256(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
