@@ -14,6 +14,8 @@ from cellamp.operators.skew import BROADCAST_ROWS, fits_broadcast, salted_lookup
 from cellamp.session import store
 
 CHARSET = "ACGTN"
+# Candidate pairs that a key may give per keyed row before the Hamming join takes longer keys.
+PAIRS_PER_KEY = 8
 
 
 def ordered_whitelist(barcodes: DataFrame, bucket: Column | None = None) -> DataFrame:
@@ -106,11 +108,50 @@ def hamming_pairs(observed: DataFrame, whitelist: DataFrame, distance: int, leng
     )
 
 
-def prefix_pairs(observed: DataFrame, whitelist: DataFrame, distance: int, excess: int, longest: int) -> DataFrame:
-    """Pairs whose whitelist barcode is ``excess`` letters longer (shorter if negative): (obs, bc, wl_idx).
+def _cut(df: DataFrame, segments: int, dropped: int) -> DataFrame:
+    """One row per choice of segments that are left out of ``_part``: what is kept (``_rest``), and the last kept segment.
 
-    Their common part, up to the shorter one's end and ``longest`` letters at most, differs in exactly ``distance`` places.
-    Barcodes with one common part are no more than the ways to fill the letters behind it.
+    Segments are of equal length as far as the letters go; short parts have empty ones.
+    """
+    size = F.length("_part")
+    ends = [F.floor(size * i / segments).cast("int") for i in range(segments + 1)]
+    pieces = [F.substring("_part", ends[i] + 1, ends[i + 1] - ends[i]) for i in range(segments)]
+    kept = list(combinations(range(segments), segments - dropped))
+    keys = [
+        F.struct(F.concat_ws("~", F.lit(n), size, *[pieces[i] for i in k]).alias("_rest"), F.lit(k[-1]).alias("_last"))
+        for n, k in enumerate(kept)
+    ]
+    cut = df.withColumn("_pieces", F.array(*pieces)).withColumn("_key", F.explode(F.array(*keys)))
+    return cut.select("*", "_key._rest", "_key._last").drop("_key")
+
+
+def segment_count(obs: DataFrame, wl: DataFrame, distance: int, longest: int) -> tuple[int, int]:
+    """The fewest segments whose keys give at most PAIRS_PER_KEY pairs per keyed row, and those pairs.
+
+    One segment more than the distance is the least: a barcode then has distance + 1 keys, each a segment. Long lists, and lists
+    whose barcodes share segments, need longer keys. Segments of one letter are the last choice; then a key's
+    barcodes are no more than the ways to fill the open places.
+    """
+    # Joins of lists with few letters, or within distances as long as a barcode, keep nothing.
+    for segments in range(distance + 1, max(distance + 1, longest) + 1):
+        left, right = (_cut(df, segments, distance).groupBy("_rest").agg(F.count("*").alias(n)) for df, n in ((obs, "_a"), (wl, "_b")))
+        sums = left.join(right, "_rest", "full").agg(
+            F.sum(F.coalesce(F.col("_a") * F.col("_b"), F.lit(0))), F.sum(F.coalesce("_a", F.lit(0)) + F.coalesce("_b", F.lit(0)))
+        )
+        pairs, keyed = (n or 0 for n in sums.first())
+        if pairs <= PAIRS_PER_KEY * keyed:
+            break
+    return segments, pairs
+
+
+def near_prefixes(
+    observed: DataFrame, whitelist: DataFrame, distance: int, excess: int, longest: int, segments: int | None = None
+) -> DataFrame:
+    """Pairs whose whitelist barcode is ``excess`` letters longer (shorter if negative): (obs, bc, wl_idx, distance).
+
+    Their common part, up to the shorter one's end and ``longest`` letters at most, differs in ``distance`` places or fewer. Parts that do
+    so agree in all but ``distance`` segments; they are joined on each choice of the others and compared letter by letter. A pair
+    comes from the first choice that it agrees in only. The number of segments follows from the measured pairs per key.
     """
     over, under = max(excess, 0), max(-excess, 0)
     obs = observed.select(F.col("bc").alias("obs")).filter(F.length("obs") >= under)
@@ -118,19 +159,19 @@ def prefix_pairs(observed: DataFrame, whitelist: DataFrame, distance: int, exces
     obs = obs.withColumn("_part", F.expr(f"substring(obs, 1, length(obs) - {under})"))
     wl = wl.withColumn("_part", F.expr(f"substring(bc, 1, length(bc) - {over})"))
     if distance == 0:
-        return obs.join(wl, "_part").select("obs", "bc", "wl_idx")
-    masks = list(combinations(range(longest), distance))
-    if not masks:
-        return obs.join(wl, "_part").select("obs", "bc", "wl_idx").limit(0)
-    inside = F.get("_mask", F.lit(distance - 1)) < F.length("_part")
-    left = _masked(obs, "_part", masks).filter(inside).withColumnRenamed("_picked", "_was").drop("_part")
+        return obs.join(wl, "_part").select("obs", "bc", "wl_idx", F.lit(0).alias("distance"))
+    segments = segments or segment_count(obs, wl, distance, longest)[0]
+    left = _cut(obs, segments, distance).withColumnsRenamed({"_part": "_was", "_pieces": "_had"}).drop("_last")
     # Expanding multiplies the rows behind the optimizer's size estimate, so neither side may be broadcast.
-    right = _masked(wl, "_part", masks).filter(inside).drop("_part").hint("merge")
-    differs = reduce(
-        lambda a, b: a & b,
-        [F.substring("_was", i + 1, 1) != F.substring("_picked", i + 1, 1) for i in range(distance)],
+    right = _cut(wl, segments, distance).hint("merge")
+    agree = sum(((F.col("_last") > i) & (F.get("_had", F.lit(i)) == F.get("_pieces", F.lit(i)))).cast("int") for i in range(segments))
+    differ = sum((F.substring("_was", i, 1) != F.substring("_part", i, 1)).cast("int") for i in range(1, longest + 1))
+    return (
+        left.join(right, "_rest")
+        .filter(agree == segments - distance - 1)
+        .select("obs", "bc", "wl_idx", differ.alias("distance") if longest else F.lit(0).alias("distance"))
+        .filter(F.col("distance") <= distance)
     )
-    return left.join(right, ["_mask", "_rest"]).filter(differs).select("obs", "bc", "wl_idx")
 
 
 def hamming_join(observed: DataFrame, whitelist: DataFrame, distance: int, length: int) -> DataFrame:
@@ -145,11 +186,10 @@ def hamming_join(observed: DataFrame, whitelist: DataFrame, distance: int, lengt
             if abs(b - a) <= distance:
                 common[b - a] = max(common.get(b - a, 0), min(a, b))
     parts = [
-        prefix_pairs(observed, whitelist, d, excess, longest).select(
-            "obs", "bc", "wl_idx", F.lit(d + abs(excess)).alias("distance")
+        near_prefixes(observed, whitelist, distance - abs(excess), excess, longest).withColumn(
+            "distance", F.col("distance") + abs(excess)
         )
         for excess, longest in sorted(common.items())
-        for d in range(distance - abs(excess) + 1)
     ]
     if not parts:
         parts = [hamming_pairs(observed, whitelist, 0, length).select("obs", "bc", "wl_idx", F.lit(0).alias("distance"))]
