@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellamp.config import RegionConfig
 from cellamp.operators.regions import looked_table
+from cellamp.sources.chunk_writer import ChunkTableSink
 
 # Column names of the text tables.
 MERGE_HEADER = {
@@ -58,26 +58,22 @@ def write_cell_summary(summary: DataFrame, path: str, one_file: bool = False) ->
 
 
 def write_chunk_tables(summary: DataFrame, outdir: str, sample: str) -> None:
-    """Packed cells with ``chunk_id``: one ``<sample>.summTable.txt`` per chunk, below its four-digit folder.
+    """Packed cells with ``chunk_id``: one ``<sample>.summTable.txt`` per chunk, below its folder of four digits or, from 10,000 on, more.
 
-    The chunks are written side by side; then every file is renamed, which moves no data. Folders have four digits, so there may be
-    10,000 chunks.
+    The tasks write the tables under these names. Tables of the sample that are there already are an error; a job that fails takes its own away.
     """
     spark = summary.sparkSession
-    part, outdir = f"{outdir.rstrip('/')}/_parts", outdir.rstrip("/")
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    given = hadoop.Path(outdir.rstrip("/"))
+    system = given.getFileSystem(conf)
+    if system.globStatus(hadoop.Path(given, f"[0-9]*/{sample}.summTable.txt")):
+        raise FileExistsError(f"{outdir} has tables of {sample}")
     ordered = summary.repartition("chunk_id").sortWithinPartitions("chunk_id", "first_seen", "part")
-    _tsv(_named(ordered, MERGE_HEADER, "_list", ["chunk_id"]).write.partitionBy("chunk_id")).csv(part)
-    files = spark.read.format("binaryFile").load(f"{part}/chunk_id=*/*.csv").select("path").collect()  # one per chunk
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    if len(files) > 10_000:
-        raise ValueError("more than 10,000 chunks have no four-digit folder each")
-    for path in (row.path for row in files):
-        folder = f"{outdir}/{int(re.search(r'chunk_id=([0-9]+)/', path)[1]):04d}"
-        target = hadoop.Path(f"{folder}/{sample}.summTable.txt")
-        system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-        system.mkdirs(hadoop.Path(folder))
-        if not system.rename(hadoop.Path(path), target):
-            raise OSError(f"{target} exists or cannot be written")
+    table = _named(ordered, MERGE_HEADER, "_list", ["chunk_id"])
+    as_text = [F.col(f"`{c}`").cast("string").alias(c) for c in table.columns if c != "chunk_id"]
+    spark.dataSource.register(ChunkTableSink)
+    sink = table.select(F.col("chunk_id").cast("bigint"), *as_text).write.format(ChunkTableSink.name()).mode("append")
+    sink.option("sample", sample).save(system.makeQualified(given).toString())
 
 
 def write_changed(changed: DataFrame, config: RegionConfig, path: str, one_file: bool = False) -> None:

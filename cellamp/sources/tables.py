@@ -82,16 +82,18 @@ def one_table_per_folder(files: DataFrame, sample: str | None) -> DataFrame:
 
 
 def chunk_table_files(spark: SparkSession, outdir: str) -> DataFrame:
-    """(path, folder, name, length) of all tables in the four-digit folders below ``outdir``, empty files included; no content is read."""
-    tables = spark._jvm.org.apache.hadoop.fs.Path(f"{outdir.rstrip('/')}/[0-9][0-9][0-9][0-9]/*.summTable.txt")
+    """(path, folder, name, length) of all tables in the folders of four or more digits below ``outdir``, empty files included; no content is read."""
+    tables = spark._jvm.org.apache.hadoop.fs.Path(f"{outdir.rstrip('/')}/[0-9][0-9][0-9][0-9]*/*.summTable.txt")
     found = tables.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(tables) or []
     rows = [(f.getPath().toString(), f.getPath().getParent().getName(), f.getPath().getName(), f.getLen()) for f in found]
+    rows = [row for row in rows if row[1].isdigit()]
     return spark.createDataFrame(rows, "path string, folder string, name string, length bigint")
 
 
 def chunk_table_paths(spark: SparkSession, outdir: str, sample: str) -> list[str]:
-    """Chunk tables below ``outdir``, one per folder."""
-    return sorted(r.path for r in one_table_per_folder(chunk_table_files(spark, outdir), sample).select("path").collect())
+    """Chunk tables below ``outdir``, one per folder, in the order of the folders' numbers."""
+    chosen = one_table_per_folder(chunk_table_files(spark, outdir), sample).select("path", "folder").collect()
+    return [r.path for r in sorted(chosen, key=lambda r: (int(r.folder), r.path))]
 
 
 def table_header(spark: SparkSession, path: str) -> list[str]:
@@ -113,9 +115,11 @@ def read_chunk_tables(spark: SparkSession, paths: list[str]) -> DataFrame:
         spark.read.schema(schema).option("sep", "\t").option("quote", "").option("header", True)
         .option("enforceSchema", False).csv(paths)
     )
+    # Folders come in the order of their numbers, whatever their digits.
+    padded = F.lpad(F.regexp_extract("_metadata.file_path", "/([0-9]{4,})/[^/]*$", 1), 19, "0")
     return table.select(
         *[clean_field(F.col(f"`{c}`")).alias(n) for c, n in CHUNK_COLUMNS.items()],
-        F.col("_metadata.file_path").alias("path"),
+        F.concat(padded, F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("within"),
     )
