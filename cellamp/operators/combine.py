@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellamp.config import Params
@@ -34,10 +34,15 @@ def unpack(tables: DataFrame, row_order: list[str]) -> DataFrame:
     )
 
 
+def is_uneven() -> Column:
+    """Whether the lists of a packed row differ in length."""
+    sizes = F.array(*[F.size(F.split(F.coalesce(c, F.lit("")), ";")) for c in PACKED])
+    return F.array_min(sizes) != F.array_max(sizes)
+
+
 def uneven_rows(tables: DataFrame) -> DataFrame:
     """Packed rows whose lists differ in length."""
-    sizes = F.array(*[F.size(F.split(F.coalesce(c, F.lit("")), ";")) for c in PACKED])
-    return tables.filter(F.array_min(sizes) != F.array_max(sizes))
+    return tables.filter(is_uneven())
 
 
 def sum_pairs(rows: DataFrame, params: Params = Params()) -> DataFrame:

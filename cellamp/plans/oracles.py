@@ -262,6 +262,9 @@ un AS (SELECT reps.*, row_number() OVER (PARTITION BY chunk_id, bc ORDER BY firs
         "primed_circ": _with(READS, circ) + f"SELECT read_id, bc, umi, {_names(CIRC, 'mm')} FROM primed",
         "bad_reads": _with(DAMAGED, _scan(LINEAR))
         + "SELECT read_id, r2_len, mm_primer, mm_wt, err_r2, err_shared FROM scan WHERE r2_len=0 OR err_r2=0 OR err_shared=0",
+        "read_counts": _with(DAMAGED, _scan(LINEAR))
+        + "SELECT count(*) AS reads, count(*) FILTER (WHERE r2_len=0 OR err_r2=0 OR err_shared=0) AS bad_reads, "
+        + "(SELECT CAST(sum(length(regexp_replace(qual_r1||qual_r2,'[!-J]','','g'))) AS BIGINT) FROM reads) AS unknown_symbols FROM scan",
         "whitelist_order": _with(WL) + "SELECT bc, wl_idx FROM wl",
         "whitelist_semi": _with(READS, WL, linear) + "SELECT read_id, bc FROM primed SEMI JOIN wl USING (bc)",
         "whitelist_anti": _with(READS, WL, linear) + "SELECT read_id, bc FROM primed ANTI JOIN wl USING (bc)",

@@ -95,6 +95,12 @@ def bad_reads(spark, sf_dir):
     return _plain(regions.bad_reads(scored).select("read_id", "r2_len", "mm_primer", "mm_wt", "err_r2", "err_shared"))
 
 
+def read_counts(spark, sf_dir):
+    """Reads, bad reads and unknown symbols of a run over damaged reads, counted by the pass that scores them."""
+    run = GenotypeRun(fixture.damaged_reads(spark, sf_dir), fixture.whitelist(spark, sf_dir), fixture.LINEAR)
+    return spark.createDataFrame([run.counts], "reads bigint, bad_reads bigint, unknown_symbols bigint")
+
+
 def whitelist_order(spark, sf_dir):
     return _plain(fixture.whitelist(spark, sf_dir).select("bc", "wl_idx"))
 
@@ -293,7 +299,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         read_fields, phred_decode, primer_shift, region_mismatch, region_errors, looked_linear, looked_circ,
-        primed_linear, primed_circ, bad_reads, whitelist_order, whitelist_semi, whitelist_anti, hamming1_candidates,
+        primed_linear, primed_circ, bad_reads, read_counts, whitelist_order, whitelist_semi, whitelist_anti, hamming1_candidates,
         hamming_k_join, prior_counts, rescue_posterior, rescue_status, mtx_re, dup_counts, dedup_representative,
         merge_table, merge_table_circ, cell_summary, cell_summary_parts, unpack_explode, chunk_local_pairs, pair_counts, pair_order,
         concat_cells, concat_cells_parts, chunk_assign, umi_edges_levenshtein, umi_edges_unanchored, umi_edges_mixed, umi_degree,
