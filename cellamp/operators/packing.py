@@ -41,7 +41,8 @@ def pack_cells(
     marked = mark(rows, large, keys, sizes, "_n", order[-1])
     small = marked.filter("_n IS NULL").groupBy(*keys).agg(packed, *totals).withColumn("part", F.lit(0))
     big = marked.filter("_n IS NOT NULL")
-    pieces = -(-large_rows // max_packed) * 2
+    # A piece is work for a task: its size has nothing to do with that of a packed row, which may be a few UMIs.
+    pieces = max(-(-large_rows // max(max_packed, MAX_PACKED)) * 2, rows.sparkSession.sparkContext.defaultParallelism)
     # Pieces rise with the order, so the place of a row is its place in its piece after the cell's earlier pieces.
     cut = store(big.repartitionByRange(pieces, *keys, *order).withColumn("_piece", F.spark_partition_id()))
     earlier = W.partitionBy(*keys).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellamp.config import Params
-from cellamp.operators import chunks, components, umi_collapse, umi_graph
+from cellamp.operators import chunks, components, packing, umi_collapse, umi_graph
 from cellamp.session import store
 from tests import brute
 
@@ -116,3 +116,17 @@ def test_chunks_without_moving_reads(spark, monkeypatch, target, buckets):
     assert {r.read_id: r.chunk_id for r in got.collect()} == {k: n // size for n, (_, k) in enumerate(order)}
     plan = store(reads).transform(lambda stored: chunks.assign_chunks(stored, target))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "Exchange SinglePartition" not in plan
+
+
+def test_pieces_do_not_grow_with_the_number_of_packed_rows(spark, monkeypatch):
+    """Thousands of packed rows of two UMIs are cut into a few pieces, and come out whole and in order."""
+    rows = [(f"c{k % 3}", f"u{k:05d}") for k in range(6000)] + [("small", "u")]
+    stored = store(spark.createDataFrame(rows, "bc string, umi string"))
+    cut = []
+    monkeypatch.setattr(packing, "store", lambda df: cut.append(df.rdd.getNumPartitions()) or store(df))
+    got = packing.pack_cells(stored, ["bc"], ["umi"], ["umi"], [F.count("*").alias("n")], 2).collect()
+    assert cut and max(cut) <= max(2, spark.sparkContext.defaultParallelism)
+    assert {(r.bc, r.part): [i.umi for i in r["items"]] for r in got} == {
+        (f"c{c}", p): [f"u{k:05d}" for k in (c + 6 * p, c + 6 * p + 3)] for c in range(3) for p in range(1000)
+    } | {("small", 0): ["u"]}
+    assert {r.n for r in got if r.bc != "small"} == {2000}
