@@ -10,13 +10,16 @@ errors, and each part is joined by its own subsequences with the windows that li
 
 A subsequence of a whole pattern is shared by a bounded number of UMIs. One of a part may be common, as in a family of UMIs with equal halves: keys
 are counted first, and one with too many pairs is dealt out to several tasks.
+
+The smaller a cell, the shorter a key may be. In cells in which no key can have too many pairs, patterns are cut into one part more than errors, so that one
+part is found unchanged in the text: a few keys per UMI instead of hundreds, and one window of a text serves the parts of patterns of any length.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 from itertools import combinations
-from math import comb
+from math import comb, isqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +30,7 @@ from cellamp.functions.distance import METRICS, levenshtein_bound, unanchored_di
 from cellamp.operators.packing import pack_cells
 from cellamp.operators.components import components
 from cellamp.operators.skew import fits_broadcast, mark
-from cellamp.session import by_cell, store
+from cellamp.session import by_cell, by_umi, store
 
 # Subsequences per pattern; longer patterns are cut into parts.
 MAX_VARIANTS = 1000
@@ -35,6 +38,8 @@ MAX_VARIANTS = 1000
 KEY_PAIRS = 1_000_000
 # Cells up to this many UMIs are handled as one row; larger ones go through joins.
 MAX_CELL = 2000
+# Cells up to this many UMIs are joined on unchanged parts; a key of such a cell makes no more than KEY_PAIRS pairs.
+PART_CELL = isqrt(KEY_PAIRS)
 
 
 def _threshold(length: int, distance: float) -> int:
@@ -111,21 +116,63 @@ def paired(left: DataFrame, right: DataFrame, keys: list[str], spread_by: str, m
     return left.join(right.hint("merge"), [*keys, "_place"]).drop("_place")
 
 
-def candidate_pairs(nodes: DataFrame, params: Params = Params()) -> DataFrame:
-    """Every pair within the distance and some more (bc, src, dst), src being the pattern. A pair may occur more than once."""
-    lengths = sorted(r[0] for r in nodes.select(F.length("umi")).distinct().collect())
+def _unchanged_parts(length: int, threshold: int) -> list[tuple[int, int]]:
+    """(start, size) of parts of a pattern, one more than its errors, or the empty part where every character may be an error."""
+    if threshold >= length:
+        return [(1, 0)]
+    cuts = [length * k // (threshold + 1) for k in range(threshold + 2)]
+    return [(a + 1, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
+def _windows(size: int) -> Column:
+    """Every window of a text, unmarked."""
+    if not size:
+        return F.array(F.lit(""))
+    last = F.length("umi") - size + 1
+    found = F.transform(F.sequence(F.lit(1), last), lambda at: F.substring("umi", at, F.lit(size)))
+    return F.when(last > 0, found).otherwise(F.expr("cast(array() as array<string>)"))
+
+
+def _part_pairs(nodes: DataFrame, limits: dict[int, int]) -> DataFrame:
+    """Pairs of cells of bounded size: a pattern (by length in ``limits``, with its errors) and each text that holds one of its parts."""
+    own, parts = F.length("umi"), {length: _unchanged_parts(length, t) for length, t in limits.items()}
+    sizes = sorted({size for cut in parts.values() for _, size in cut})
+    keys = None
+    for length, cut in parts.items():
+        own_parts = F.array(*[F.substring("umi", start, size) for start, size in cut])
+        keys = F.when(own == length, own_parts) if keys is None else keys.when(own == length, own_parts)
+    windows = [_windows(size) for size in sizes]
+    spread = by_cell(nodes.select("bc", "umi"))
+    patterns = spread.select("bc", F.col("umi").alias("src"), F.explode(F.array_distinct(keys)).alias("key"))
+    texts = spread.select("bc", F.col("umi").alias("dst"), F.explode(F.array_distinct(F.concat(*windows))).alias("key"))
+    return patterns.join(texts.hint("merge"), ["bc", "key"]).filter("src <> dst").select("bc", "src", "dst")
+
+
+def _subsequence_pairs(nodes: DataFrame, limits: dict[int, int]) -> list[DataFrame]:
+    """Pairs of cells of any size, by pattern length."""
     found = []
-    for length in lengths:
-        t = _threshold(length, params.umi_distance)
-        if t <= 0:
-            continue
+    for length, t in limits.items():
         patterns = nodes.filter(F.length("umi") == length)
         patterns = patterns.select("bc", F.col("umi").alias("src"), F.explode(_pattern_keys(length, t)).alias("key"))
         texts = nodes.filter(F.length("umi") >= length - t)
         texts = texts.select("bc", F.col("umi").alias("dst"), F.explode(_text_keys(length, t)).alias("key"))
         found.append(paired(patterns, texts, ["bc", "key"], "src").filter("src <> dst").select("bc", "src", "dst"))
-    if not found:
+    return found
+
+
+def candidate_pairs(nodes: DataFrame, params: Params = Params(), part_cell: int = PART_CELL) -> DataFrame:
+    """Every pair within the distance and some more (bc, src, dst), src being the pattern. A pair may occur more than once.
+
+    Cells up to ``part_cell`` UMIs are joined on unchanged parts, larger ones on subsequences. ``nodes`` must be stored.
+    """
+    lengths = sorted(r[0] for r in nodes.select(F.length("umi")).distinct().collect())
+    limits = {length: t for length in lengths if (t := _threshold(length, params.umi_distance)) > 0}
+    if not limits:
         return nodes.select("bc", F.col("umi").alias("src"), F.col("umi").alias("dst")).filter(F.lit(False))
+    small, large = split_cells(nodes.select("bc", "umi"), part_cell)
+    found = [_part_pairs(small, limits)]
+    if large is not None:
+        found += _subsequence_pairs(store(by_umi(large)), limits)
     return reduce(DataFrame.unionByName, found)
 
 

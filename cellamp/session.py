@@ -65,11 +65,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
+def task_number(spark: SparkSession) -> int:
+    """Tasks for work that costs far more than its bytes suggest."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def by_cell(df: DataFrame, key: str = "bc") -> DataFrame:
     """Hash partitions per cell for work that costs far more than its bytes suggest.
 
     The number is given, so that small shuffles are not merged into a few tasks.
     """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(parts, key)
+    return df.repartition(task_number(df.sparkSession), key)
+
+
+def by_umi(df: DataFrame) -> DataFrame:
+    """The same for cells that are too large for a task."""
+    return df.repartition(task_number(df.sparkSession), "bc", "umi")

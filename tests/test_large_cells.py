@@ -42,6 +42,29 @@ def test_joined_edges_of_mixed_and_long_umis(spark, lengths, distance):
     assert len(got) == len(expected) and {tuple(r) for r in got} == expected and len(expected) > 50
 
 
+@pytest.mark.parametrize("lengths,distance", [((8, 11, 14), 0.2), ((5, 9), 3), ((2, 3, 7), 3)])
+def test_parts_and_subsequences_give_the_same_edges(spark, lengths, distance):
+    """Joined on unchanged parts and on subsequences, and by plain loops; some patterns may lose every character."""
+    cells = {"a": _umis(60, lengths, 1), "b": sorted({u[1:] + "A" for u in _umis(60, lengths, 1)}), "one": ["ACGTACGT"]}
+    nodes = store(spark.createDataFrame([(bc, u) for bc, umis in cells.items() for u in umis], "bc string, umi string"))
+    params = Params(umi_distance=distance)
+    expected = {
+        (bc, a, b) for bc, umis in cells.items() for a, b in brute.edges({u: (1, 0, 0, "WT") for u in umis}, distance, brute.substring_distance)
+    }
+    for part_cell in (0, 40, 1000):
+        got = umi_graph.candidate_pairs(nodes, params, part_cell).distinct()
+        near = got.filter(umi_graph.unanchored_distance(F.col("src"), F.col("dst")) <= umi_graph.distance_threshold(F.length("src"), distance))
+        assert {tuple(r) for r in near.collect()} == expected and len(expected) > 5
+
+
+def test_keys_of_bounded_cells_are_few_and_dealt_to_all_tasks(spark):
+    """A stored table of one file is not expanded in one task, and a UMI makes tens of keys, not hundreds."""
+    umis = _umis(300, (12,), 1)
+    nodes = store(spark.createDataFrame([(f"c{k % 30}", u) for k, u in enumerate(umis)], "bc string, umi string").coalesce(1))
+    plan = umi_graph.candidate_pairs(nodes)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2 and plan.count("RepartitionByExpression") == 2 and len(plan) < 5000
+
+
 def test_candidates_per_umi_stay_bounded_in_a_cell_of_50000(spark):
     umis = _umis(50_000, (11, 12, 13), 1)
     nodes = store(spark.createDataFrame([("cell", u) for u in umis], "bc string, umi string").repartition(16))
