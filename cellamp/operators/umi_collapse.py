@@ -10,7 +10,6 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,11 +20,13 @@ from cellamp.functions.distance import neighbour_lists
 from cellamp.operators.packing import MAX_PACKED, pack_cells, packed_text
 from cellamp.operators.skew import mark
 from cellamp.operators.umi_graph import MAX_CELL, _threshold, mutual_components, split_cells, umi_edges, weak_components
-from cellamp.session import by_cell, store
+from cellamp.session import by_cell, store, task_number
 
 FIELDS = ("umi", "n_wt", "n_mut", "n_amb", "call")
 # Components of large cells up to this many edges are collapsed inside one task.
 MAX_COMPONENT = 200_000
+# Batches of smaller components have 1/BATCH_SHARE of that on average.
+BATCH_SHARE = 4
 # Tables of a search that are kept apart before they are put together.
 SEEN_TABLES = 8
 _NODE = "umi string, n_wt bigint, n_mut bigint, n_amb bigint"
@@ -88,21 +89,40 @@ def _collapse_small(packed: DataFrame, params: Params) -> DataFrame:
     return packed.select("bc", F.inline(collapse_umis("items")))
 
 
-def _collapse_component(params: Params):
-    """Cogrouped nodes and edges of one component to its survivors."""
+def _collapse_components(nodes: pa.Table, edges: pa.Table) -> pa.Table:
+    """Nodes and edges of a batch of whole components to their survivors."""
+    nodes = nodes.sort_by([("bc", "ascending"), ("comp", "ascending"), ("umi", "ascending")])
+    cells, umis, comps, calls = (nodes.column(c).to_pylist() for c in ("bc", "umi", "comp", "call"))
+    counts = np.stack([nodes.column(c).to_numpy() for c in FIELDS[1:4]], axis=1).astype(np.int64)
+    place = {node: i for i, node in enumerate(zip(cells, umis))}
+    near: list[list[int]] = [[] for _ in umis]
+    for bc, s, d in zip(*(edges.column(c).to_pylist() for c in ("bc", "src", "dst"))):
+        near[place[bc, s]].append(place[bc, d])
+    kept = np.ones(len(umis), bool)
+    labels = list(zip(cells, comps))
+    ends = [i for i in range(1, len(labels)) if labels[i] != labels[i - 1]]
+    for lo, hi in zip([0, *ends], [*ends, len(labels)]):
+        own = [[j - lo for j in listed] for listed in near[lo:hi]]
+        kept[lo:hi], counts[lo:hi], merged = greedy_collapse(own, counts[lo:hi])
+        for i in np.flatnonzero(merged):
+            calls[lo + i] = None
+    columns = [nodes.column("bc"), nodes.column("umi"), *[pa.array(counts[:, c]) for c in range(3)], pa.array(calls, pa.string())]
+    return pa.table(columns, ["bc", *FIELDS]).filter(pa.array(kept))
+
+
+def _batched(components: DataFrame, batches: int) -> DataFrame:
+    """Rows of components by batch: whole components, in as many tasks as were asked for."""
+    batch = F.pmod(F.xxhash64("bc", "comp"), F.lit(batches)).cast("int").alias("_batch")
+    return components.select("*", batch).repartition(min(batches, task_number(components.sparkSession)), "_batch")
 
-    def run(nodes: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        nodes = nodes.sort_values("umi", ignore_index=True)
-        place = {u: i for i, u in enumerate(nodes["umi"])}
-        near: list[list[int]] = [[] for _ in place]
-        for s, d in zip(edges["src"].map(place), edges["dst"].map(place)):
-            near[s].append(d)
-        alive, counts, merged = greedy_collapse(near, nodes[["n_wt", "n_mut", "n_amb"]].to_numpy(np.int64))
-        nodes[["n_wt", "n_mut", "n_amb"]] = counts
-        nodes.loc[merged, "call"] = None
-        return nodes.loc[alive, ["bc", *FIELDS]]
 
-    return run
+def _collapse_bounded(nodes: DataFrame, edges: DataFrame, n_edges: int) -> DataFrame:
+    """Components of bounded size (all rows carry ``comp``), many of them in one call; a batch has about MAX_COMPONENT edges at most."""
+    batches = max(-(-n_edges * BATCH_SHARE // MAX_COMPONENT), task_number(nodes.sparkSession))
+    nodes = _batched(nodes.select("bc", "comp", *FIELDS), batches)
+    edges = _batched(edges.select("bc", "comp", "src", "dst"), batches)
+    pairs = nodes.groupBy("_batch").cogroup(edges.groupBy("_batch"))
+    return pairs.applyInArrow(_collapse_components, f"bc string, {_NODE}, call string")
 
 
 def _reached(keepers: DataFrame, edges: DataFrame, knots: DataFrame) -> DataFrame:
@@ -177,12 +197,9 @@ def _collapse_large(nodes: DataFrame, params: Params, max_component: int) -> Dat
         marked_edges = store(mark(labelled, huge, keys, sizes, "_edges", "src"))
         marked_nodes = store(mark(nodes.join(comps, ["bc", "umi"], "left"), huge, keys, sizes, "_edges", "umi"))
         free = marked_nodes.filter("comp IS NULL").select("bc", *FIELDS)
-        small = (
-            marked_nodes.filter("comp IS NOT NULL AND _huge IS NULL")
-            .groupBy(*keys)
-            .cogroup(marked_edges.filter("_huge IS NULL").groupBy(*keys))
-            .applyInPandas(_collapse_component(params), f"bc string, {_NODE}, call string")
-        )
+        n_edges = sizes.filter(F.col("_edges") <= max_component).agg(F.sum("_edges")).first()[0] or 0
+        bounded = marked_nodes.filter("comp IS NOT NULL AND _huge IS NULL")
+        small = _collapse_bounded(bounded, marked_edges.filter("_huge IS NULL"), n_edges)
         settled = free.unionByName(small)
         if huge.isEmpty():
             return settled

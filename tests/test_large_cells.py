@@ -65,6 +65,21 @@ def test_keys_of_bounded_cells_are_few_and_dealt_to_all_tasks(spark):
     assert plan.count("Generate explode") == 2 and plan.count("RepartitionByExpression") == 2 and len(plan) < 5000
 
 
+def test_components_are_collapsed_many_in_a_call(spark, monkeypatch):
+    """Components of two cells in one batch, equal UMIs in both; a call per component would be thousands of calls."""
+    monkeypatch.setattr(umi_collapse, "task_number", lambda spark: 1)
+    cell = {"AAAA": (1, 0, 0), "AAAC": (2, 0, 0), "CCCC": (0, 3, 0), "CCCG": (0, 0, 1), "GGGG": (5, 0, 0)}
+    nodes = [(bc, u, *n, "WT", comp) for bc in "xy" for u, n in cell.items() for comp in [{"A": "AAAA", "C": "CCCC", "G": "GGGG"}[u[0]]] if u != "GGGG"]
+    nodes = store(spark.createDataFrame(nodes, "bc string, umi string, n_wt bigint, n_mut bigint, n_amb bigint, call string, comp string"))
+    links = [("x", "AAAA", "AAAC"), ("x", "AAAC", "AAAA"), ("x", "CCCG", "CCCC"), ("y", "AAAC", "AAAA"), ("y", "CCCC", "CCCG"), ("y", "CCCG", "CCCC")]
+    edges = store(spark.createDataFrame([(bc, "AAAA" if s[0] == "A" else "CCCC", s, d) for bc, s, d in links], "bc string, comp string, src string, dst string"))
+    small = umi_collapse._collapse_bounded(nodes, edges, len(links))
+    assert small.select("bc", "umi", "n_wt", "n_mut", "n_amb", "call").rdd.getNumPartitions() == 1
+    assert sorted(tuple(r) for r in small.collect()) == [
+        ("x", "AAAA", 3, 0, 0, None), ("x", "CCCG", 0, 3, 1, None), ("y", "AAAC", 3, 0, 0, None), ("y", "CCCC", 0, 3, 1, None)
+    ]
+
+
 def test_candidates_per_umi_stay_bounded_in_a_cell_of_50000(spark):
     umis = _umis(50_000, (11, 12, 13), 1)
     nodes = store(spark.createDataFrame([("cell", u) for u in umis], "bc string, umi string").repartition(16))
