@@ -186,19 +186,21 @@ def _plan(counts: DataFrame, unequal: str) -> DataFrame:
 
 
 def read_ranges(
-    spark: SparkSession, files: list[tuple[int, str, str, str, str]], unequal: str = "error", step: int = RANGE_BYTES
+    spark: SparkSession, files: list[tuple[int, str, str, str, str]], unequal: str = "error", step: int = RANGE_BYTES, lengths: dict[str, int] | None = None
 ) -> DataFrame:
     """Read pairs (file_id, path_1, kind_1, path_2, kind_2) of plain or block-compressed files by ranges of ``step`` bytes.
 
     A file that ends in blank lines ends before them; one that ends inside a record, or mates of unequal number (unless ``unequal`` is
     ``truncate``), are an error. The files are told to the workers as a table of few bytes per file.
+    ``lengths``: the bytes of the files where they are known. A task takes several ranges when these are small.
     """
-    listed = [(no, mate, path, kind, file_size(spark, path)) for no, f in enumerate(files) for mate, path, kind in ((1, *f[1:3]), (2, *f[3:5]))]
+    lengths = {path: file_size(spark, path) for f in files for path in (f[1], f[3])} if lengths is None else lengths
+    listed = [(no, mate, path, kind, lengths[path]) for no, f in enumerate(files) for mate, path, kind in ((1, *f[1:3]), (2, *f[3:5]))]
     table = spark.createDataFrame(listed, "file_no int, mate int, path string, kind string, size bigint")
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(step).cast("bigint")))
     ranges = table.select("*", starts.alias("start"), F.lit(step).cast("bigint").alias("step"))
     n = sum(max(1, -(-size // step)) for *_, size in listed)
-    tasks = max(1, min(n, 100_000))
+    tasks = max(1, min(n, 100_000, _tasks(spark, sum(size for *_, size in listed))))
     plan = store(_plan(store(_counted(ranges.repartition(tasks))), unequal))
     names = {m: table.filter(F.col("mate") == m).select("file_no", F.col("path").alias(f"path_{m}"), F.col("kind").alias(f"kind_{m}")) for m in (1, 2)}
     ids = spark.createDataFrame([(no, f[0]) for no, f in enumerate(files)], "file_no int, file_id int")
@@ -232,8 +234,13 @@ def read_ranges(
     return work.repartition(tasks).mapInArrow(read, READ_SCHEMA)
 
 
-def compress_blocks(spark: SparkSession, sources: list[str], targets: list[str]) -> None:
-    """Block-compressed copies of files, a task per file; a copy appears under its name when it is whole."""
+def _tasks(spark: SparkSession, size: int) -> int:
+    """Tasks for ranges or files of that many bytes together: some for each core, and more where a task would have over RANGE_BYTES."""
+    return max(4 * spark.sparkContext.defaultParallelism, -(-size // RANGE_BYTES))
+
+
+def compress_blocks(spark: SparkSession, sources: list[str], targets: list[str], size: int | None = None) -> None:
+    """Block-compressed copies of files, a task per file or, when their ``size`` together is given, for several small ones; a copy appears under its name when it is whole."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,7 +256,8 @@ def compress_blocks(spark: SparkSession, sources: list[str], targets: list[str])
             yield batch
 
     pairs = spark.createDataFrame(list(zip(sources, targets, strict=True)), "source string, target string")
-    pairs.repartition(max(1, len(sources))).mapInArrow(write, "source string, target string").foreach(lambda row: None)
+    tasks = len(sources) if size is None else min(len(sources), _tasks(spark, size))
+    pairs.repartition(max(1, tasks)).mapInArrow(write, "source string, target string").foreach(lambda row: None)
 
 
 def member(data: bytes) -> bytes:
