@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellamp.config import RegionConfig
 from cellamp.operators import chunks, combine
 from cellamp.operators.ranking import bucketed_rank
+from cellamp.operators.skew import fits_broadcast
 from cellamp.plans import fixture
 from cellamp.plans.queries import CHUNK_TARGET, _plain, _run, _summary_by_chunk
 from cellamp.session import new_path, store
@@ -25,20 +26,27 @@ def _fastq(spark, sf_dir, compress: bool = False, **options) -> DataFrame:
     headers = {f"header_r{m}": F.concat(F.lit("@r"), F.col("read_id").cast("string"), F.lit(f"/{m}")) for m in (1, 2)}
     assigned = store(chunks.assign_chunks(reads.withColumns(headers), CHUNK_TARGET))
     folders = [new_path(spark, f"fastq-r{mate}-") for mate in (1, 2)]
+    layout = sinks.fastq_layout(assigned)
     for mate, folder in enumerate(folders, 1):
-        sinks.write_fastq_chunks(assigned, folder, mate)
+        sinks.write_fastq_chunks(assigned, folder, mate, layout)
     if compress:
         folders = [_compressed(spark, folder) for folder in folders]
-    place = F.col("read_id").bitwiseAND((1 << ORDINAL_BITS) - 1).alias("place")
+    # The place of a read among those of its chunk and million of ids: its place in the file after the file's earlier millions.
+    million = F.floor(F.regexp_extract("header_r1", "^@r(-?[0-9]+)/", 1).cast("bigint") / sinks.FILE_READS)
+    starts = layout.select("chunk_id", "million", "first")
+    starts = F.broadcast(starts) if fits_broadcast(starts) else starts
+    back = fastq.read_fastq_chunks(spark, *folders, **options).withColumn("million", million).join(starts, ["chunk_id", "million"], "left")
+    place = (F.col("read_id").bitwiseAND((1 << ORDINAL_BITS) - 1) - F.col("first")).alias("place")
     fields = [f"{c}_r{m}" for m in (1, 2) for c in ("header", "seq", "qual")]
-    return _plain(fastq.read_fastq_chunks(spark, *folders, **options).select("chunk_id", place, *fields))
+    return _plain(back.select("chunk_id", place, *fields))
 
 
 def _compressed(spark, folder: str) -> str:
     """Block-compressed copies of a folder's chunks."""
     target = new_path(spark, "fastq-gz-")
     files = fastq.chunk_files(spark, folder)
-    ranges.compress_blocks(spark, list(files.values()), [f"{target}/chunk_id={c}/block={b}/reads.fastq.gz" for c, b in files])
+    names = [f"{target}/chunk_id={c}/block={b}/reads.fastq.gz" for c, b in files]
+    ranges.compress_blocks(spark, [path for path, _ in files.values()], names, sum(size for _, size in files.values()))
     return target
 
 

@@ -51,9 +51,9 @@ def _listed(value: str) -> list[str]:
     return json.loads(value) if value.startswith('["') else [value] if value else []
 
 
-class _FilePair(InputPartition):
-    def __init__(self, file_id: int, r1: str, r2: str):
-        self.file_id, self.r1, self.r2 = file_id, r1, r2
+class _FilePairs(InputPartition):
+    def __init__(self, pairs: list[tuple[int, str, str]]):
+        self.pairs = pairs
 
 
 class FastqPairReader(DataSourceReader):
@@ -64,20 +64,36 @@ class FastqPairReader(DataSourceReader):
         self.truncate = options.get("unequal", "error") == "truncate"
         ids = options.get("file_ids")
         self.pairs = list(zip(map(int, ids.split(",")) if ids else range(len(first)), first, second))
+        sizes = options.get("sizes")
+        self.sizes = list(map(int, sizes.split(","))) if sizes else None
+        self.task_bytes = int(options.get("task_bytes", "0"))
 
     def partitions(self):
-        return [_FilePair(*pair) for pair in self.pairs]
+        if self.sizes is None:
+            return [_FilePairs([pair]) for pair in self.pairs]
+        tasks, filled = [], self.task_bytes
+        for pair, size in zip(self.pairs, self.sizes, strict=True):
+            if not tasks or filled + size > self.task_bytes:
+                tasks.append([])
+                filled = 0
+            tasks[-1].append(pair)
+            filled += size
+        return [_FilePairs(pairs) for pairs in tasks]
 
     def read(self, partition):
+        for pair in partition.pairs:
+            yield from self._read_pair(*pair)
+
+    def _read_pair(self, file_id: int, r1: str, r2: str):
         names = ["read_id", "file_id", "header_r1", "seq_r1", "qual_r1", "header_r2", "seq_r2", "qual_r2"]
         schema = pa.schema([("read_id", pa.int64()), ("file_id", pa.int32()), *[(n, pa.string()) for n in names[2:]]])
-        mates = enumerate(itertools.zip_longest(_records(partition.r1), _records(partition.r2)))
+        mates = enumerate(itertools.zip_longest(_records(r1), _records(r2)))
         while chunk := list(itertools.islice(mates, _BATCH)):
             rows = [(n, a, b) for n, (a, b) in chunk if a and b]
             if len(rows) < len(chunk) and not self.truncate:
-                raise ValueError(f"{partition.r1} and {partition.r2} differ in their number of reads")
-            base = partition.file_id << ORDINAL_BITS
-            columns = [[base + n for n, _, _ in rows], [partition.file_id] * len(rows)]
+                raise ValueError(f"{r1} and {r2} differ in their number of reads")
+            base = file_id << ORDINAL_BITS
+            columns = [[base + n for n, _, _ in rows], [file_id] * len(rows)]
             columns += [[a[i] for _, a, _ in rows] for i in range(3)] + [[b[i] for _, _, b in rows] for i in range(3)]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -85,7 +101,8 @@ class FastqPairReader(DataSourceReader):
 class FastqPairSource(DataSource):
     """Options ``r1`` and ``r2``: a path each, or JSON lists of equal length, on a file system that every executor can open.
 
-    ``unequal``: ``error`` or ``truncate``. ``file_ids``: numbers of the pairs, by default 0, 1, ...
+    ``unequal``: ``error`` or ``truncate``. ``file_ids``: numbers of the pairs, by default 0, 1, ... ``sizes``: bytes of the pairs; a task then reads
+    successive pairs of up to ``task_bytes`` together, or one that is larger.
     """
 
     @classmethod
@@ -111,7 +128,12 @@ def read_fastq_pairs(
     if not r1 or len(r1) != len(r2):
         raise ValueError("r1 and r2 must list the same number of files")
     r1, r2 = [qualified(spark, p) for p in r1], [qualified(spark, p) for p in r2]
-    sizes = [file_size(spark, a) + file_size(spark, b) for a, b in zip(r1, r2)]
+    return _read_pairs(spark, r1, r2, {p: file_size(spark, p) for p in {*r1, *r2}}, unequal, split_bytes)
+
+
+def _read_pairs(spark: SparkSession, r1: list[str], r2: list[str], lengths: dict[str, int], unequal: str, split_bytes: int) -> DataFrame:
+    """Read pairs of files by full paths, whose bytes are known."""
+    sizes = [lengths[a] + lengths[b] for a, b in zip(r1, r2)]
     kinds = [(kind_of(a), kind_of(b)) for a, b in zip(r1, r2)]
     text = [i for i, k in enumerate(kinds) if None in k]
     cut = [i for i, k in enumerate(kinds) if None not in k and "gzip" not in k and sizes[i] > split_bytes]
@@ -119,30 +141,32 @@ def read_fastq_pairs(
     parts = []
     if whole:
         spark.dataSource.register(FastqPairSource)
+        total, largest = sum(sizes[i] for i in whole), max(sizes[i] for i in whole)
+        cores = spark.sparkContext.defaultParallelism
+        # Small files are read many in a task, large ones alone.
         options = {
             "r1": json.dumps([r1[i] for i in whole]), "r2": json.dumps([r2[i] for i in whole]),
             "file_ids": ",".join(map(str, whole)), "unequal": unequal,
+            "sizes": ",".join(str(sizes[i]) for i in whole), "task_bytes": str(min(RANGE_BYTES, total // (4 * cores))),
         }
         reads = spark.read.format("fastq_pair").options(**options).load()
-        total, largest = sum(sizes[i] for i in whole), max(sizes[i] for i in whole)
-        cores = spark.sparkContext.defaultParallelism
         uneven = largest * len(whole) > 4 * total or len(whole) < cores
         if largest > split_bytes and uneven:
             reads = reads.repartition(max(cores, total // (32 << 20)), "read_id")
         parts.append(reads)
     if cut:
         files = [(i, r1[i], kinds[i][0], r2[i], kinds[i][1]) for i in cut]
-        parts.append(read_ranges(spark, files, unequal, max(1 << 12, min(RANGE_BYTES, split_bytes or RANGE_BYTES))))
+        parts.append(read_ranges(spark, files, unequal, max(1 << 12, min(RANGE_BYTES, split_bytes or RANGE_BYTES)), lengths))
     if text:
         parts.append(split_fastq_pairs(spark, [r1[i] for i in text], [r2[i] for i in text], text, unequal))
     return reduce(DataFrame.unionByName, parts)
 
 
-def chunk_files(spark: SparkSession, folder: str) -> dict[tuple[int, int], str]:
-    """Chunk and block to the file that holds them."""
-    files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/chunk_id=*/block=*/*.{{txt,gz}}").select("path")
-    found = [(re.search(r"chunk_id=(-?\d+)/block=(-?\d+)/", row.path), row.path) for row in files.collect()]
-    return {(int(m[1]), int(m[2])): path for m, path in found}
+def chunk_files(spark: SparkSession, folder: str) -> dict[tuple[int, int], tuple[str, int]]:
+    """Chunk and block to the file that holds them, and its bytes."""
+    files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/chunk_id=*/block=*/*.{{txt,gz}}").select("path", "length")
+    found = [(re.search(r"chunk_id=(-?\d+)/block=(-?\d+)/", row.path), row) for row in files.collect()]
+    return {(int(m[1]), int(m[2])): (row.path, row.length) for m, row in found}
 
 
 def read_fastq_chunks(spark: SparkSession, r1: str, r2: str, unequal: str = "error", split_bytes: int = 256 << 20) -> DataFrame:
@@ -154,9 +178,12 @@ def read_fastq_chunks(spark: SparkSession, r1: str, r2: str, unequal: str = "err
     if first.keys() != second.keys():
         raise ValueError(f"{r1} and {r2} hold different chunks")
     places = sorted(first)
-    reads = read_fastq_pairs(spark, [first[p] for p in places], [second[p] for p in places], unequal, split_bytes)
-    chunk = F.expr(f"array({', '.join(str(c) for c, _ in places)})")
-    return reads.withColumn("chunk_id", F.get(chunk, F.col("file_id")))
+    if not places:
+        raise ValueError(f"{r1} and {r2} hold no chunks")
+    lengths = {path: size for files in (first, second) for path, size in files.values()}
+    reads = _read_pairs(spark, [first[p][0] for p in places], [second[p][0] for p in places], lengths, unequal, split_bytes)
+    chunks = spark.createDataFrame([(no, chunk) for no, (chunk, _) in enumerate(places)], "file_id int, chunk_id int")
+    return reads.join(F.broadcast(chunks), "file_id", "left").select(*reads.columns, "chunk_id")
 
 
 def _split_records(spark: SparkSession, paths: list[str], mate: int) -> DataFrame:

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellamp.config import RegionConfig
 from cellamp.operators.regions import looked_table
+from cellamp.operators.skew import fits_broadcast
+from cellamp.session import store
 from cellamp.sources.chunk_writer import ChunkTableSink
 
 # Column names of the text tables.
@@ -21,6 +24,8 @@ MERGE_HEADER = {
     "mm_fw_wt": "mismatchPCR2FW_WT", "mm_fw_mut": "mismatchPCR2FW_MUT", "mm_rv_wt": "mismatchPCR2RV_WT",
     "mm_rv_mut": "mismatchPCR2RV_MUT",
 }
+# Reads after which a chunk's FASTQ takes another file, and read ids that stay together.
+FILE_READS = 1_000_000
 CALL_HEADER = {"wt_calls": "WT.calls", "mut_calls": "MUT.calls", "amb_calls": "amb.calls"}
 
 
@@ -110,17 +115,39 @@ def write_chunks(reads: DataFrame, path: str) -> None:
     reads.write.partitionBy("chunk_id").parquet(path)
 
 
-def write_fastq_chunks(reads: DataFrame, path: str, mate: int) -> None:
-    """One mate of the reads as FASTQ text, in read order: a folder per chunk, and in it a folder and file per million read ids.
+def fastq_layout(reads: DataFrame) -> DataFrame:
+    """Where a chunk's reads stand: (chunk_id, million, block, first), stored.
 
-    The files depend on chunk and read id alone, so those of two mates hold the same reads in the same order.
+    Each million of read ids stands in a file ``block`` of its chunk, after ``first`` of the file's reads. A file takes further millions until it has
+    that many reads, so that chunks drawn from all ids do not come in a file per million.
+    """
+    million = F.floor(F.col("read_id") / FILE_READS).alias("million")
+    counts = reads.groupBy("chunk_id", million).agg(F.count("*").alias("_n"))
+    earlier = W.partitionBy("chunk_id").orderBy("million").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    placed = counts.withColumn("_before", before).withColumn("block", F.floor(F.col("_before") / FILE_READS))
+    first = F.col("_before") - F.min("_before").over(W.partitionBy("chunk_id", "block"))
+    return store(placed.select("chunk_id", "million", "block", first.alias("first")))
+
+
+def write_fastq_chunks(reads: DataFrame, path: str, mate: int, layout: DataFrame | None = None) -> None:
+    """One mate of the reads as FASTQ text, in read order: a folder per chunk, and in it a folder and file per million reads or so.
+
+    The files depend on chunks and read ids alone, so those of two mates hold the same reads in the same order. ``layout`` is that of ``fastq_layout``; without it, it is made from the
+    reads, which are then read twice.
     """
     # A record always has four lines: a missing header or quality is an empty one.
     seq = F.coalesce(f"seq_r{mate}", F.raise_error(F.lit(f"a read without seq_r{mate} cannot be written")).cast("string"))
     header, qual = (F.coalesce(f"{c}_r{mate}", F.lit("")) for c in ("header", "qual"))
     record = F.concat_ws("\n", header, seq, F.lit("+"), qual)
+    # Only chunks of more than a file have further blocks.
+    further = (fastq_layout(reads) if layout is None else layout).filter("block > 0").select("chunk_id", "million", "block")
+    if fits_broadcast(further):
+        further = F.broadcast(further)
     (
-        reads.withColumn("block", F.floor(F.col("read_id") / 1_000_000))
+        reads.withColumn("million", F.floor(F.col("read_id") / FILE_READS))
+        .join(further, ["chunk_id", "million"], "left")
+        .withColumn("block", F.coalesce("block", F.lit(0)))
         .repartition("chunk_id", "block")
         .sortWithinPartitions("chunk_id", "block", "read_id")
         .select(record.alias("value"), "chunk_id", "block")

@@ -330,3 +330,35 @@ def test_repeated_average(spark, sf_dir):
 def test_cells_of_an_empty_run(run):
     nothing = store(run.merged.filter("false"))
     assert cells.cell_summary(nothing, run.config).isEmpty()
+
+
+def test_fastq_of_a_chunk_takes_millions_together(spark, tmp_path, monkeypatch):
+    """Chunks of a few ids each out of many millions have one file; a large chunk has a file per million reads or so, in order."""
+    monkeypatch.setattr(sinks, "FILE_READS", 10)
+    rows = [(k, k % 3) for k in range(0, 300, 11)] + [(k, 7) for k in range(0, 50, 2)] + [(4, 7)]
+    reads = spark.createDataFrame([(k, c, f"@r{k}/1", "ACGT", "IIII") for k, c in rows], "read_id bigint, chunk_id int, header_r1 string, seq_r1 string, qual_r1 string")
+    reads = store(reads.withColumns({f"{c}_r2": F.col(f"{c}_r1") for c in ("header", "seq", "qual")}))
+    for mate in (1, 2):
+        sinks.write_fastq_chunks(reads, f"{tmp_path}/r{mate}", mate)
+    files = fastq.chunk_files(spark, f"{tmp_path}/r1")
+    assert sorted(files) == [(0, 0), (1, 0), (2, 0), (7, 0), (7, 1), (7, 2)]
+    back = fastq.read_fastq_chunks(spark, f"{tmp_path}/r1", f"{tmp_path}/r2").orderBy("chunk_id", "read_id").collect()
+    assert [(r.chunk_id, r.header_r1, r.header_r2) for r in back] == [(c, f"@r{k}/1", f"@r{k}/1") for c, k in sorted((c, k) for k, c in rows)]
+    layout = {(r.chunk_id, r.million): (r.block, r.first) for r in sinks.fastq_layout(reads).collect()}
+    assert [layout[7, m] for m in range(5)] == [(0, 0), (0, 6), (1, 0), (1, 5), (2, 0)] and layout[0, 29] == (0, 9)
+
+
+def test_small_files_share_a_task(spark, rows, tmp_path):
+    """Hundreds of small pairs of files are read by a few tasks, in lockstep, by ranges and when they are compressed."""
+    folders = [f"{tmp_path}/r{mate}" for mate in (1, 2)]
+    for folder in folders:
+        for k in range(150):
+            os.makedirs(f"{folder}/chunk_id={k}/block=0")
+            with open(f"{folder}/chunk_id={k}/block=0/a.txt", "w") as f:
+                f.write("".join(f"@r{k}_{n}\nACGT\n+\nIIII\n" for n in range(300)))
+    cores = spark.sparkContext.defaultParallelism
+    for split_bytes in (256 << 20, 1 << 12):
+        reads = fastq.read_fastq_chunks(spark, *folders, split_bytes=split_bytes)
+        assert reads.rdd.getNumPartitions() <= 6 * cores
+        got = sorted((r.chunk_id, r.read_id - (r.file_id << 40), r.header_r1) for r in reads.collect())
+        assert got == [(k, n, f"@r{k}_{n}") for k in range(150) for n in range(300)]
